@@ -19,10 +19,15 @@ def host(url: Column) -> Column:
     return F.lower(_part(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"))
 
 
+def percent_decoded(text: Column) -> Column:
+    """Resolve percent escapes; a text with a broken escape stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
 def path_and_query(url: Column) -> Column:
-    """What crawl rules match on: everything after the host, "/" at least."""
+    """What crawl rules match on: everything after the host, "/" if there is nothing."""
     rest = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", "")
-    return F.when(F.left(rest, F.lit(1)) == "/", rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(rest == "", "/").otherwise(percent_decoded(rest))
 
 
 def _remove_dots(path: Column) -> Column:

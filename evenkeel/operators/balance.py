@@ -3,6 +3,7 @@
 Both work on narrow rows (``ord``, ``label``, ``source``); texts are joined at the very end.
 """
 
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.config import RARE_STRATUM_ROWS, SEED, TRAIN_FRACTION, VAL_FRACTION
 from evenkeel.functions.draws import order_key
-from evenkeel.operators.ranking import before_cut, locate_cuts, with_segment
+from evenkeel.operators.ranking import Cuts, before_cut, locate_cuts, with_segment
 from evenkeel.plans.staging import Pinned, look_up, pin
 
 SPLITS = ["train", "val", "test"]
@@ -25,20 +26,33 @@ def minority_size(counts: DataFrame) -> DataFrame:
     return counts.agg(F.min("rows").alias("minority"))
 
 
-def balance_classes(rows: DataFrame, order: str = "ord", seed: int = SEED,
-                    counts: Pinned | None = None) -> DataFrame:
-    """Sample every class, without replacement, down to the size of the smallest."""
+def balance_cuts(rows: DataFrame, order: str = "ord", seed: int = SEED,
+                 counts: Pinned | None = None) -> Cuts | None:
+    """The cut of every class at the size of the smallest; None when all have the same size."""
     counts = counts or pin(label_counts(rows), "label-counts")
     minority, majority = counts.extent("rows")
     if minority == majority:
-        return rows
+        return None
     targets = Pinned(counts.df.select("label", F.lit(0).alias("cut"),
                                       F.lit(minority).cast("bigint").alias("target")), counts.small)
     keyed = rows.withColumn("_key", order_key("balance", F.col(order), seed))
-    cuts = locate_cuts(keyed, ["label"], "_key", order, targets, 1, majority)
+    return locate_cuts(keyed, ["label"], "_key", order, targets, 1, majority)
+
+
+def within_balance(rows: DataFrame, cuts: Cuts | None, order: str = "ord",
+                   seed: int = SEED) -> DataFrame:
+    """The rows that the class cuts keep: a map-side filter on label and ``order``."""
+    if cuts is None:
+        return rows
+    keyed = rows.withColumn("_key", order_key("balance", F.col(order), seed))
     return before_cut(keyed, "_key", order, cuts).select(*rows.columns)
 
 
+def balance_classes(rows: DataFrame, order: str = "ord", seed: int = SEED) -> DataFrame:
+    """Sample every class, without replacement, down to the size of the smallest."""
+    return within_balance(rows, balance_cuts(rows, order, seed), order, seed)
+
+
 def strata_counts(rows: DataFrame) -> DataFrame:
     """Rows per label and source with the stratum name; small strata fold into the bare label."""
     counted = rows.groupBy("label", "source").agg(F.count(F.lit(1)).alias("rows"))
@@ -97,9 +111,17 @@ def split_targets(strata: DataFrame, train: str = TRAIN_FRACTION, val: str = VAL
                         (F.col("rows") - F.col("train") - F.col("val")).alias("test"))
 
 
-def stratified_split(rows: DataFrame, order: str = "ord", train: str = TRAIN_FRACTION,
-                     val: str = VAL_FRACTION, seed: int = SEED) -> DataFrame:
-    """Add ``split``: train, val or test, stratified by label and source."""
+@dataclass
+class SplitPlan:
+    """Strata and their cuts: enough to place any row of the table by label, source and ``order``."""
+
+    strata: Pinned
+    cuts: Cuts
+
+
+def split_plan(rows: DataFrame, order: str = "ord", train: str = TRAIN_FRACTION,
+               val: str = VAL_FRACTION, seed: int = SEED) -> SplitPlan:
+    """Count the strata, share out the split sizes and find the rows at which the splits end."""
     counted = pin(strata_counts(rows), "strata")
     names = Pinned(counted.df.select("label", "source", "stratum"), counted.small)
     strata = counted.df.groupBy("stratum").agg(F.sum("rows").alias("rows"))
@@ -109,10 +131,25 @@ def stratified_split(rows: DataFrame, order: str = "ord", train: str = TRAIN_FRA
         F.struct(F.lit(1).alias("cut"), (F.col("train") + F.col("val")).alias("target"))))),
         "split-targets")
     largest = targets.extent("rows")[1] or 0
-    targets.df = targets.df.drop("rows")
-    keyed = look_up(rows, names, ["label", "source"]).withColumn(
+    keyed = _split_keyed(rows, names, order, seed)
+    cuts = locate_cuts(keyed, ["stratum"], "_key", order,
+                       Pinned(targets.df.drop("rows"), targets.small), 2, largest)
+    return SplitPlan(names, cuts)
+
+
+def _split_keyed(rows: DataFrame, names: Pinned, order: str, seed: int) -> DataFrame:
+    return look_up(rows, names, ["label", "source"]).withColumn(
         "_key", order_key("split", F.col(order), seed))
-    cuts = locate_cuts(keyed, ["stratum"], "_key", order, targets, 2, largest)
-    placed = with_segment(keyed, "_key", order, cuts)
+
+
+def with_split(rows: DataFrame, plan: SplitPlan, order: str = "ord", seed: int = SEED) -> DataFrame:
+    """Add ``split``: train, val or test. Map-side."""
+    placed = with_segment(_split_keyed(rows, plan.strata, order, seed), "_key", order, plan.cuts)
     split = F.get(F.array(*[F.lit(s) for s in SPLITS]), F.col("segment"))
     return placed.select(*rows.columns, split.alias("split"))
+
+
+def stratified_split(rows: DataFrame, order: str = "ord", train: str = TRAIN_FRACTION,
+                     val: str = VAL_FRACTION, seed: int = SEED) -> DataFrame:
+    """Add ``split``: train, val or test, stratified by label and source."""
+    return with_split(rows, split_plan(rows, order, train, val, seed), order, seed)

@@ -159,7 +159,7 @@ def first_n(rows: DataFrame, n: int, key: Column, tie: str, groups: list[str] =
     cuts = locate_cuts(keyed, groups, "_order", "_tied", targets, 1, largest, (lo, hi),
                        rank_at_most, buckets)
     if groups == ["_all"]:
-        last_key, last_tie = cuts.table.rows[0][1:]
-        last = (F.lit(last_key), F.lit(last_tie))
+        at = cuts.table.df.select("key_0", "tie_0").first()
+        last = (F.lit(at["key_0"]), F.lit(at["tie_0"]))
         return keyed.filter(~_beyond(F.col("_order"), F.col("_tied"), *last)).select(*order)
     return before_cut(keyed, "_order", "_tied", cuts).select(*order)

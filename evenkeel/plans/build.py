@@ -54,8 +54,8 @@ def load_splits(spark: SparkSession, folder: str) -> DataFrame:
 def corpus_counts(records: DataFrame, corpus: Corpus) -> DataFrame:
     """Rows per stage, source and label, from raw to each split."""
     counts = stage_counts({"combined": records, "cleaned": corpus.cleaned, "deduplicated": corpus.kept,
-                           "balanced": corpus.balanced})
-    split = (corpus.assigned.groupBy("split", "source", "label").agg(F.count(F.lit(1)).alias("rows"))
+                           "balanced": corpus.balanced()})
+    split = (corpus.assigned().groupBy("split", "source", "label").agg(F.count(F.lit(1)).alias("rows"))
              .select(F.col("split").alias("stage"), "source", "label", "rows"))
     return counts.unionByName(split)
 
@@ -79,7 +79,7 @@ def build_corpus(spark: SparkSession, sources: list[Source], raw_root: str, out_
         return BuildReport(
             statuses, [s.name for s in sources if s.name not in present], counts,
             dedup_counters(corpus.kept).first().asDict(),
-            source_breakdown(corpus.balanced).collect(),
+            source_breakdown(corpus.balanced()).collect(),
             len({r["label"] for r in counts if r["stage"] == "deduplicated"}) < 2)
     finally:
         delete_path(spark, scratch)

@@ -1,8 +1,9 @@
 """From combined records to the split corpus.
 
 Texts are cleaned once and written to shared storage with their keys. Every decision after that -
-which rows survive dedup, balance and split - is taken on narrow columns, and the texts are
-joined to the final assignment at the end.
+which rows survive dedup, balance and split - is taken on narrow columns. Balance and split come out as
+cuts, which decide any row map-side; so the texts outside the class cuts are dropped where they are
+read, and only the rest is shuffled, once, to be joined with the dedup survivors.
 """
 
 from dataclasses import dataclass
@@ -11,34 +12,48 @@ from pyspark.sql import DataFrame
 
 from evenkeel.config import SEED
 from evenkeel.functions.text import clean_and_filter, with_dedup_keys
-from evenkeel.operators.balance import balance_classes, stratified_split
-from evenkeel.operators.dedup import dedup_groups
+from evenkeel.operators.balance import (
+    SplitPlan, balance_cuts, split_plan, with_split, within_balance)
+from evenkeel.operators.dedup import dedup_groups, keep_rows
+from evenkeel.operators.ranking import Cuts
 from evenkeel.plans.staging import stage
 from evenkeel.schema import RECORD_COLUMNS
-from evenkeel.session import spread
+
+NARROW = ["ord", "label", "source"]
 
 
 @dataclass
 class Corpus:
-    """The tables of one build. ``cleaned`` and ``kept`` are staged; the rest is lazy."""
+    """The result of one build. ``cleaned`` and ``kept`` are staged tables; the rest is lazy."""
+
+    cleaned: DataFrame  # record columns, ord, exact_key, prefix_key
+    kept: DataFrame     # ord, label, source, exact_dropped, near_dropped
+    class_cuts: Cuts | None
+    splits: SplitPlan
+    seed: int
+
+    def balanced(self) -> DataFrame:
+        """Narrow rows after balancing."""
+        return within_balance(self.kept.select(*NARROW), self.class_cuts, seed=self.seed)
 
-    cleaned: DataFrame   # record columns, ord, exact_key, prefix_key
-    kept: DataFrame      # ord, label, source, exact_dropped, near_dropped
-    balanced: DataFrame  # ord, label, source
-    assigned: DataFrame  # ord, label, source, split
+    def assigned(self) -> DataFrame:
+        """Narrow rows of the final corpus with their split."""
+        return with_split(self.balanced(), self.splits, seed=self.seed)
 
     def rows(self) -> DataFrame:
         """The final corpus: record columns, ord and split."""
-        texts = self.cleaned.select(*RECORD_COLUMNS, "ord")
-        return texts.join(self.assigned.select("ord", "split"), "ord")
+        texts = within_balance(self.cleaned.select(*RECORD_COLUMNS, "ord"), self.class_cuts,
+                               seed=self.seed)
+        return with_split(keep_rows(texts, self.kept), self.splits, seed=self.seed)
 
 
 def build(records: DataFrame, seed: int = SEED, cleaned_path: str | None = None,
           kept_path: str | None = None) -> Corpus:
     """Clean, deduplicate, balance and split records that carry ``ord``."""
-    keyed = with_dedup_keys(clean_and_filter(spread(records)), cleaned=True)
+    keyed = with_dedup_keys(clean_and_filter(records), cleaned=True)
     cleaned = stage(keyed, "cleaned", cleaned_path)
-    narrow = cleaned.select("ord", "label", "source")
-    kept = stage(narrow.join(dedup_groups(cleaned), "ord"), "kept", kept_path)
-    balanced = balance_classes(kept.select("ord", "label", "source"), seed=seed)
-    return Corpus(cleaned, kept, balanced, stratified_split(balanced, seed=seed))
+    kept = stage(cleaned.select(*NARROW).join(dedup_groups(cleaned), "ord"), "kept", kept_path)
+    narrow = kept.select(*NARROW)
+    class_cuts = balance_cuts(narrow, seed=seed)
+    splits = split_plan(within_balance(narrow, class_cuts, seed=seed), seed=seed)
+    return Corpus(cleaned, kept, class_cuts, splits, seed)

@@ -13,7 +13,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that have a label, as records; the document id is the row order."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
-    documents = table(spark, folder, "documents").select("doc_id", "text", "source")
+    documents = spread(table(spark, folder, "documents").select("doc_id", "text", "source"))
     joined = documents.join(labels, "doc_id")
     return joined.select("text", F.col("label").cast("bigint").alias("label"), "source",
                          F.lit(None).cast("string").alias("subtopic"), F.col("doc_id").alias("ord"))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from evenkeel.plans.registry import Source
 from evenkeel.plans.staging import path_exists
 from evenkeel.schema import RECORD_COLUMNS, SOURCE_SCHEMA, pack_ord, to_source_rows
+from evenkeel.session import spread
 
 STORED_SCHEMA = T.StructType([f for f in SOURCE_SCHEMA.fields if f.name != "source"])
 
@@ -85,5 +86,5 @@ def combine(spark: SparkSession, sources: list[Source], root: str) -> DataFrame:
     scan = (spark.read.schema(SOURCE_SCHEMA).option("basePath", root)
             .parquet(*[source_path(root, sources[i].name) for i in stored]))
     priority = F.create_map(*[F.lit(v) for i in stored for v in (sources[i].name, i)])
-    return scan.select(*RECORD_COLUMNS,
-                       pack_ord(priority[F.col("source")], F.col("row_id")).alias("ord"))
+    return spread(scan).select(*RECORD_COLUMNS,
+                               pack_ord(priority[F.col("source")], F.col("row_id")).alias("ord"))

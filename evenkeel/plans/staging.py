@@ -84,8 +84,9 @@ def local_table(spark: SparkSession, rows: list, schema: StructType) -> DataFram
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema=schema)
 
 
-def pin(df: DataFrame, name: str, max_rows: int = PIN_ROWS) -> Pinned:
+def pin(df: DataFrame, name: str, max_rows: int | None = None) -> Pinned:
     """Compute ``df`` now. Up to ``max_rows`` rows come back as a literal table, more are staged."""
+    max_rows = PIN_ROWS if max_rows is None else max_rows
     rows = df.take(max_rows + 1)
     width = sum(len(v) if isinstance(v, str) else 8 for row in rows for v in row)
     if len(rows) <= max_rows and width <= PIN_BYTES:

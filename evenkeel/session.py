@@ -18,10 +18,11 @@ def build_session(master: str | None = None, name: str = "evenkeel", **conf: str
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Redistribute an input with fewer splits than the session has cores.
+    """Redistribute a table scan with fewer splits than the session has cores.
 
     One small file is one task, however heavy the regexes above it. A large input has more splits than
-    cores and is returned as it is, so nothing large is ever shuffled here.
+    cores and is returned as it is, so nothing large is ever shuffled here. For plain scans only: asking
+    a plan with joins for its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

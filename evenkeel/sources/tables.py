@@ -72,9 +72,10 @@ def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
     """Add ``row_id``, a BIGINT that sorts like the ``order`` columns (a strict total order).
 
     A range partitioning sorts the table across tasks, and the id is partition number and position.
-    Staging freezes it: sampling the ranges again could give other ids.
+    The input is staged because the ranges are sampled in a pass of their own, and the result because
+    sampling again could give other ids.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = stage(df, "unnumbered").repartitionByRange(*order).sortWithinPartitions(*order)
     return stage(ranged.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
 
 

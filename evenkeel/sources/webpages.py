@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.config import LINK_FRAGMENT, MIN_ARTICLE_CHARS
 from evenkeel.functions.text import fence
-from evenkeel.functions.urls import host, path_and_query, resolve
+from evenkeel.functions.urls import host, path_and_query, percent_decoded, resolve
 from evenkeel.operators.records import make_records
 from evenkeel.operators.sampling import first_rows
 from evenkeel.plans.staging import Pinned, look_up, pin, stage
@@ -138,7 +138,7 @@ def crawl_allowed(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFr
     The rules of a host come from one small file, so they travel as one array per host and no URL is
     ever multiplied by the rules of its host.
     """
-    rule = F.struct("rule_no", F.col("path_prefix").alias("prefix"),
+    rule = F.struct("rule_no", percent_decoded(F.col("path_prefix")).alias("prefix"),
                     (F.col("allow") | (F.col("path_prefix") == "")).alias("allow"))
     known = pin(rules.select("host", "rule_no", "path_prefix", "allow"), "rules")
     per_host = known.df.groupBy(F.lower("host").alias("_host")).agg(
