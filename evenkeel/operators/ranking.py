@@ -4,7 +4,7 @@
 labels that is two tasks for the whole corpus. Here the row at which a cut falls is found first, and
 then every row is kept or dropped by comparing its key with that row's - a map-side filter.
 
-To find the row, the key range of a group is divided into equal buckets and counted with map-side
+To find the row, the key range of the groups is divided into equal buckets and counted with map-side
 partial aggregation; the running count names the bucket that holds it. The bucket is divided again
 while it has more than ``RANK_AT_MOST`` rows, and only what is left is sorted. Groups known to be
 smaller than that are sorted at once.
@@ -20,7 +20,8 @@ from evenkeel.plans.staging import Pinned, local_table, look_up, pin
 
 BUCKETS = 4096
 RANK_AT_MOST = 200_000
-HASH_RANGE = (0, ORDER_KEY_SPACE)
+HASH_RANGE = (0, ORDER_KEY_SPACE - 1)
+ANY_ID = (0, (1 << 63) - 1)
 
 
 @dataclass
@@ -37,66 +38,84 @@ class Cuts:
 
 def locate_cuts(rows: DataFrame, groups: list[str], key: str, tie: str, targets: Pinned,
                 cut_count: int, largest_group: int, key_range: tuple[int, int] = HASH_RANGE,
-                rank_at_most: int = RANK_AT_MOST, buckets: int = BUCKETS) -> Cuts:
+                tie_range: tuple[int, int] = ANY_ID, rank_at_most: int = RANK_AT_MOST,
+                buckets: int = BUCKETS) -> Cuts:
     """Find the row at every cut.
 
     ``targets`` has one row per group and cut: groups, ``cut`` (0-based) and ``target``, the number of
     rows before the cut. ``key`` and ``tie`` are BIGINT columns that order the rows of a group
-    strictly, ``key`` within ``key_range`` (end excluded).
+    strictly, with values in the given ranges (ends included).
     """
-    lo, hi = key_range
     slim = rows.select(*groups, F.col(key).alias("_key"), F.col(tie).alias("_tie"))
-    wanted = targets.df.filter(F.col("target") > 0).withColumns({
-        "lo": F.lit(lo).cast("bigint"), "hi": F.lit(hi).cast("bigint"),
-        "before": F.lit(0).cast("bigint"), "c": F.lit(largest_group).cast("bigint")})
+    bounds = {"lo": key_range[0], "hi": key_range[1], "tie_lo": tie_range[0], "tie_hi": tie_range[1],
+              "before": 0, "c": largest_group}
+    wanted = targets.df.filter(F.col("target") > 0).withColumns(
+        {name: F.lit(value).cast("bigint") for name, value in bounds.items()})
     found = Pinned(wanted, targets.small)
     if largest_group > rank_at_most:
         found = _narrow(slim, groups, found, rank_at_most, buckets)
         while _oversized(found, rank_at_most):
             found = _narrow(slim, groups, found, rank_at_most, buckets)
 
-    within = (look_up(slim, found, groups)
-              .filter((F.col("_key") >= F.col("lo")) & (F.col("_key") < F.col("hi"))))
     w = Window.partitionBy(*groups, "cut").orderBy("_key", "_tie")
-    at_cut = (within.withColumn("_rank", F.col("before") + F.row_number().over(w))
+    at_cut = (_inside(slim, groups, found)
+              .withColumn("_rank", F.col("before") + F.row_number().over(w))
               .filter(F.col("_rank") == F.col("target"))
               .select(*groups, "cut", F.col("_key").alias("key"), F.col("_tie").alias("tie")))
     # No row precedes an empty cut: a key below the range puts all rows behind it.
     empty = (targets.df.filter(F.col("target") <= 0)
-             .select(*groups, "cut", F.lit(lo - 1).cast("bigint").alias("key"),
+             .select(*groups, "cut", F.lit(key_range[0] - 1).cast("bigint").alias("key"),
                      F.lit(0).cast("bigint").alias("tie")))
     return Cuts(_one_row_per_group(pin(at_cut.unionByName(empty), "cuts"), groups, cut_count),
                 groups, cut_count)
 
 
+def _inside(slim: DataFrame, groups: list[str], found: Pinned) -> DataFrame:
+    """The rows within the range of each cut; a row within two ranges comes twice."""
+    return look_up(slim, found, groups).filter(
+        F.col("_key").between(F.col("lo"), F.col("hi"))
+        & F.col("_tie").between(F.col("tie_lo"), F.col("tie_hi")))
+
+
 def _too_big(rank_at_most: int) -> Column:
-    return (F.col("c") > rank_at_most) & (F.col("hi") - F.col("lo") > 1)
+    return (F.col("c") > rank_at_most) & (
+        (F.col("hi") > F.col("lo")) | (F.col("tie_hi") > F.col("tie_lo")))
 
 
 def _oversized(found: Pinned, rank_at_most: int) -> bool:
-    if found.rows is not None:
-        return any(r["c"] > rank_at_most and r["hi"] - r["lo"] > 1 for r in found.rows)
     return not found.df.filter(_too_big(rank_at_most)).isEmpty()
 
 
 def _narrow(slim: DataFrame, groups: list[str], found: Pinned, rank_at_most: int,
             buckets: int) -> Pinned:
-    """Replace every oversized range by the one of its buckets that holds the cut."""
-    wide = found.df.filter(_too_big(rank_at_most)).withColumn(
-        "w", F.expr(f"(hi - lo + {buckets - 1}L) div {buckets}L")).drop("c")
-    inside = (look_up(slim, Pinned(wide, found.small), groups)
-              .filter((F.col("_key") >= F.col("lo")) & (F.col("_key") < F.col("hi"))))
-    keys = [*groups, "cut", "target", "lo", "hi", "before", "w"]
-    hist = (inside.groupBy(*keys, F.expr("(_key - lo) div w").alias("b"))
+    """Replace every oversized range by the one of its buckets that holds the cut.
+
+    The key is divided while the range has more than one; then the ties of that one key are, so that a
+    key shared by a third of all rows is no obstacle.
+    """
+    by_key = F.col("hi") > F.col("lo")
+    span = F.when(by_key, F.col("hi") - F.col("lo")).otherwise(F.col("tie_hi") - F.col("tie_lo"))
+    wide = (found.df.filter(_too_big(rank_at_most)).withColumn("_span", span)
+            .withColumn("w", F.expr(f"_span div {buckets}L + 1")).drop("c", "_span"))
+    offset = F.when(by_key, F.col("_key") - F.col("lo")).otherwise(F.col("_tie") - F.col("tie_lo"))
+    inside = _inside(slim, groups, Pinned(wide, found.small)).withColumn("_offset", offset)
+    ranges = ["lo", "hi", "tie_lo", "tie_hi"]
+    hist = (inside.groupBy(*groups, "cut", "target", *ranges, "before", "w",
+                           F.expr("_offset div w").alias("b"))
             .agg(F.count(F.lit(1)).alias("c")))
     running = F.sum("c").over(Window.partitionBy(*groups, "cut").orderBy("b"))
     counted = hist.withColumn("upto", F.col("before") + running)
     ahead = F.col("upto") - F.col("c")
-    new_lo = F.col("lo") + F.col("b") * F.col("w")
+
+    def divided(low: str, high: str, mine: Column) -> tuple[Column, Column]:
+        start = F.col(low) + F.col("b") * F.col("w")
+        end = F.least(start + (F.col("w") - 1), F.col(high))
+        return (F.when(mine, start).otherwise(F.col(low)).alias(low),
+                F.when(mine, end).otherwise(F.col(high)).alias(high))
+
     hit = (counted.filter((ahead < F.col("target")) & (F.col("target") <= F.col("upto")))
-           .select(*groups, "cut", "target", new_lo.alias("lo"),
-                   F.least(new_lo + F.col("w"), F.col("hi")).alias("hi"),
-                   ahead.alias("before"), "c"))
+           .select(*groups, "cut", "target", *divided("lo", "hi", by_key),
+                   *divided("tie_lo", "tie_hi", ~by_key), ahead.alias("before"), "c"))
     settled = found.df.filter(~_too_big(rank_at_most)).select(*hit.columns)
     return pin(settled.unionByName(hit), "cuts")
 
@@ -148,15 +167,19 @@ def first_n(rows: DataFrame, n: int, key: Column, tie: str, groups: list[str] =
     keyed = rows.withColumns({"_order": key, "_tied": F.col(tie).cast("bigint")})
     if groups == ["_all"]:
         keyed = keyed.withColumn("_all", F.lit(0))
-    spans = [] if key_range else [F.min("_order").alias("lo"), F.max("_order").alias("hi")]
+    spans = [F.min("_tied").alias("tie_lo"), F.max("_tied").alias("tie_hi")]
+    if key_range is None:
+        spans += [F.min("_order").alias("lo"), F.max("_order").alias("hi")]
     sizes = pin(keyed.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), *spans), "sizes")
     largest = sizes.extent("rows")[1]
     if largest is None or largest <= n:
         return rows
-    lo, hi = key_range or (sizes.extent("lo")[0], sizes.extent("hi")[1] + 1)
+    span, tie_span = (
+        (sizes.extent(f"{prefix}lo")[0], sizes.extent(f"{prefix}hi")[1]) if known is None else known
+        for prefix, known in (("", key_range), ("tie_", None)))
     targets = Pinned(sizes.df.filter(F.col("rows") > n).select(
         *groups, F.lit(0).alias("cut"), F.lit(n).cast("bigint").alias("target")), sizes.small)
-    cuts = locate_cuts(keyed, groups, "_order", "_tied", targets, 1, largest, (lo, hi),
+    cuts = locate_cuts(keyed, groups, "_order", "_tied", targets, 1, largest, span, tie_span,
                        rank_at_most, buckets)
     if groups == ["_all"]:
         at = cuts.table.df.select("key_0", "tie_0").first()

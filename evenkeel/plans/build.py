@@ -1,6 +1,5 @@
 """The full build: sources to raw zone, raw zone to split files and counts."""
 
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +12,9 @@ from evenkeel.operators.metrics import source_breakdown, stage_counts
 from evenkeel.plans.corpus import Corpus, build
 from evenkeel.plans.raw_zone import SourceStatus, combine, run_sources
 from evenkeel.plans.registry import Source
-from evenkeel.plans.staging import delete_path, shared_dir
+from evenkeel.plans.staging import staging_area
 from evenkeel.schema import RECORD_COLUMNS, RECORD_SCHEMA
+from evenkeel.sources.tables import read_csv
 
 
 @dataclass
@@ -46,9 +46,7 @@ def save_splits(corpus_rows: DataFrame, folder: str) -> None:
 def load_splits(spark: SparkSession, folder: str) -> DataFrame:
     """The saved corpus, with ``split``."""
     schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("split", T.StringType())])
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).csv(folder))
+    return read_csv(spark, folder, schema)
 
 
 def corpus_counts(records: DataFrame, corpus: Corpus) -> DataFrame:
@@ -68,11 +66,10 @@ def build_corpus(spark: SparkSession, sources: list[Source], raw_root: str, out_
     ``skip_collect`` works on what the raw zone holds; ``only`` and ``force`` choose the sources to
     build. The staged tables of the run are removed at the end.
     """
-    statuses = [] if skip_collect else run_sources(spark, sources, raw_root, force, only)
-    records = combine(spark, sources, raw_root)
-    scratch = f"{shared_dir(spark)}/evenkeel/build-{uuid.uuid4().hex}"
-    try:
-        corpus = build(records, seed, f"{scratch}/cleaned", f"{scratch}/kept")
+    with staging_area(spark):
+        statuses = [] if skip_collect else run_sources(spark, sources, raw_root, force, only)
+        records = combine(spark, sources, raw_root)
+        corpus = build(records, seed)
         save_splits(corpus.rows(), out_folder)
         counts = corpus_counts(records, corpus).collect()  # sources x labels x stages
         present = {r["source"] for r in counts if r["stage"] == "combined"}
@@ -81,5 +78,3 @@ def build_corpus(spark: SparkSession, sources: list[Source], raw_root: str, out_
             dedup_counters(corpus.kept).first().asDict(),
             source_breakdown(corpus.balanced()).collect(),
             len({r["label"] for r in counts if r["stage"] == "deduplicated"}) < 2)
-    finally:
-        delete_path(spark, scratch)

@@ -44,15 +44,14 @@ class Corpus:
         """The final corpus: record columns, ord and split."""
         texts = within_balance(self.cleaned.select(*RECORD_COLUMNS, "ord"), self.class_cuts,
                                seed=self.seed)
-        return with_split(keep_rows(texts, self.kept), self.splits, seed=self.seed)
+        return with_split(keep_rows(texts, self.balanced()), self.splits, seed=self.seed)
 
 
-def build(records: DataFrame, seed: int = SEED, cleaned_path: str | None = None,
-          kept_path: str | None = None) -> Corpus:
+def build(records: DataFrame, seed: int = SEED) -> Corpus:
     """Clean, deduplicate, balance and split records that carry ``ord``."""
     keyed = with_dedup_keys(clean_and_filter(records), cleaned=True)
-    cleaned = stage(keyed, "cleaned", cleaned_path)
-    kept = stage(cleaned.select(*NARROW).join(dedup_groups(cleaned), "ord"), "kept", kept_path)
+    cleaned = stage(keyed, "cleaned")
+    kept = stage(cleaned.select(*NARROW).join(dedup_groups(cleaned), "ord"), "kept")
     narrow = kept.select(*NARROW)
     class_cuts = balance_cuts(narrow, seed=seed)
     splits = split_plan(within_balance(narrow, class_cuts, seed=seed), seed=seed)

@@ -5,8 +5,6 @@ sources' own: documents for corpora, conversations for question pairs, pages for
 region/nation/customer for the category graph, orders and events for API responses.
 """
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from evenkeel.plans import corpus
 from evenkeel.plans.build import corpus_counts, load_splits, save_splits
 from evenkeel.plans.inputs import labelled_documents, table
 from evenkeel.plans.raw_zone import load_partial, save_partial
-from evenkeel.plans.staging import shared_dir, stage
+from evenkeel.plans.staging import scratch_path, stage
 from evenkeel.session import spread
 from evenkeel.sources import categories, qa_xml, responses, tables, templates, webpages
 
@@ -198,19 +196,15 @@ def stage_metrics(spark, folder):
     return corpus_counts(labelled, corpus.build(labelled))
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/evenkeel/{name}-{uuid.uuid4().hex}"
-
-
 def partial_round_trip(spark, folder):
-    root = _scratch(spark, "raw")
+    root = scratch_path(spark, "raw")
     docs = _documents(spark, folder, "lang")
     save_partial(records.make_records(docs, "text", 0, "corpus", None, "doc_id"), root, "corpus")
     return load_partial(spark, root, "corpus")
 
 
 def csv_round_trip(spark, folder):
-    out = _scratch(spark, "csv")
+    out = scratch_path(spark, "csv")
     save_splits(_document_records(spark, folder).withColumn("split", F.col("subtopic")), out)
     return load_splits(spark, out)
 

@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 
 from evenkeel.plans.registry import Source
 from evenkeel.plans.staging import path_exists
-from evenkeel.schema import RECORD_COLUMNS, SOURCE_SCHEMA, pack_ord, to_source_rows
+from evenkeel.schema import (
+    RECORD_COLUMNS, RECORD_SCHEMA, SOURCE_SCHEMA, pack_ord, to_source_rows)
 from evenkeel.session import spread
+from evenkeel.sources.tables import number_rows, read_csv
 
 STORED_SCHEMA = T.StructType([f for f in SOURCE_SCHEMA.fields if f.name != "source"])
 
@@ -39,6 +41,15 @@ def load_partial(spark: SparkSession, root: str, name: str) -> DataFrame:
     return to_source_rows(stored.withColumn("source", F.lit(name)))
 
 
+def import_csv(spark: SparkSession, path: str, root: str, name: str) -> str:
+    """Store a source's records from a CSV with header and the record columns, in file order."""
+    raw = read_csv(spark, path, RECORD_SCHEMA)
+    placed = raw.select(*RECORD_COLUMNS, F.col("_metadata.file_path").alias("_file"),
+                        F.monotonically_increasing_id().alias("_line"))
+    numbered = number_rows(placed, ["_file", "_line"])
+    return save_partial(numbered.withColumn("source", F.lit(name)), root, name)
+
+
 def has_rows(spark: SparkSession, root: str, name: str) -> bool:
     return not load_partial(spark, root, name).select("row_id").isEmpty()
 

@@ -8,6 +8,9 @@ that broadcasting it has a proven bound; larger results are staged instead.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -39,11 +42,31 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+_area: ContextVar[str | None] = ContextVar("staging area", default=None)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder in shared storage, inside the current staging area if there is one."""
+    return f"{_area.get() or shared_dir(spark) + '/evenkeel'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end; nothing lazy may outlive it."""
+    path = scratch_path(spark, "run")
+    token = _area.set(path)
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        delete_path(spark, path)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared storage and return the table read back."""
     spark = df.sparkSession
-    path = path or f"{shared_dir(spark)}/evenkeel/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

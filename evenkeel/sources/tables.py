@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from evenkeel.config import EXCLUDED_CATEGORIES, SEED
 from evenkeel.functions.text import fence, strip
@@ -79,15 +80,19 @@ def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
     return stage(ranged.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
 
 
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A CSV with header; quoted fields may hold newlines, and quotes doubled as ""."""
+    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    return (reader.schema(schema) if schema else reader).csv(path)
+
+
 def read_csv_texts(spark: SparkSession, path: str, candidates: list[str]) -> DataFrame:
     """One text column of a CSV, the first candidate that exists, in file order.
 
-    Quoted fields may hold newlines and quotes doubled as "". A multi-line file is read by one task,
-    so the id grows along the file; files are ordered by path.
+    A multi-line file is read by one task, so the id grows along the file; files are ordered by path.
     """
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-           .csv(path))
+    raw = read_csv(spark, path)
     column = column_fallback(raw, candidates)
     placed = raw.select(F.col("_metadata.file_path").alias("_file"),
                         F.monotonically_increasing_id().alias("_line"),

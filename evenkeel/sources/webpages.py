@@ -21,30 +21,30 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Markup that holds no links, and anchors with their three ways to quote.
 NO_LINKS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANCHOR = r"""(?is)<a\b(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']++)"""
+ATTRIBUTE = rf"""\s++[^\s=>"']++(?:\s*+=\s*+{VALUE})?+"""
+ANCHOR = rf"(?i)<a(?:{ATTRIBUTE})*?\s++href\s*+=\s*+({VALUE})"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
             ("&apos;", "'"), ("&amp;", "&")]
 
 
-def hrefs(html: Column) -> Column:
-    """Array of the link targets of a page, unquoted and with the basic entities decoded."""
-    found = F.regexp_extract_all(F.regexp_replace(html, NO_LINKS, ""), F.lit(ANCHOR), F.lit(1))
-
-    def target(raw: Column) -> Column:
-        value = F.regexp_replace(raw, "^[\"']|[\"']$", "")
-        for entity, char in ENTITIES:
-            value = F.replace(value, F.lit(entity), F.lit(char))
-        return value
-
-    return F.transform(found, target)
+def link_targets(pages: DataFrame, html: str = "html") -> DataFrame:
+    """One row per anchor of a page: ``href``, unquoted and with the basic entities decoded."""
+    markup = F.regexp_replace(html, NO_LINKS, "")
+    raw = F.explode(F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(1)))
+    value = F.regexp_replace("href", "^[\"']|[\"']$", "")
+    for entity, char in ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(char))
+    keep = [c for c in pages.columns if c != html]
+    return pages.select(*keep, raw.alias("href")).withColumn("href", value)
 
 
 def page_links(pages: DataFrame, fragment: str = LINK_FRAGMENT, base: Column | None = None) -> DataFrame:
     """Distinct absolute links whose target contains ``fragment``, from ``pages(url, html)``."""
     base = F.col("url") if base is None else base
-    found = pages.select(base.alias("_base"), F.explode(hrefs(F.col("html"))).alias("_href"))
-    wanted = found.filter(F.contains("_href", F.lit(fragment)))
-    return wanted.select(resolve(F.col("_base"), F.col("_href")).alias("link")).distinct()
+    found = link_targets(pages.select(base.alias("_base"), "html"))
+    wanted = found.filter(F.contains("href", F.lit(fragment)))
+    return wanted.select(resolve(F.col("_base"), F.col("href")).alias("link")).distinct()
 
 
 class _Article(HTMLParser):

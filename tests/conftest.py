@@ -11,7 +11,7 @@ from evenkeel.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("local[8]", "tests", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

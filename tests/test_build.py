@@ -126,7 +126,7 @@ def test_reprocessing_gives_the_same_corpus(spark, built, tmp_path):
 def test_staged_tables_are_removed(spark, built):
     from pathlib import Path
     folder = Path(shared_dir(spark).removeprefix("file:")) / "evenkeel"
-    assert not list(folder.glob("build-*"))
+    assert not list(folder.glob("run-*"))
 
 
 # --- raw zone -----------------------------------------------------------------------------------
@@ -177,3 +177,14 @@ def test_partial_round_trip(spark, tmp_path):
     rows = [('a "b"\nc', 1, "s", None, 0), (" d ", 0, "s", "t", 1 << 50)]
     raw_zone.save_partial(spark.createDataFrame(rows, SOURCE_SCHEMA), str(tmp_path), "s")
     assert sorted(map(tuple, raw_zone.load_partial(spark, str(tmp_path), "s").collect())) == sorted(rows)
+
+
+def test_csv_partials_can_be_imported(spark, tmp_path):
+    import pandas as pd
+    rows = pd.DataFrame([(f'text "{i}",\nmore', 1, "old", None if i % 2 else "t") for i in range(50)],
+                        columns=RECORD_COLUMNS)
+    rows.to_csv(tmp_path / "old.csv", index=False)
+    raw_zone.import_csv(spark, str(tmp_path / "old.csv"), str(tmp_path / "raw"), "old")
+    got = raw_zone.load_partial(spark, str(tmp_path / "raw"), "old").orderBy("row_id").collect()
+    assert [(r["text"], r["label"], r["source"], r["subtopic"]) for r in got] == [
+        (t, 1, "old", None if i % 2 else "t") for i, t in enumerate(rows["text"])]

@@ -42,18 +42,16 @@ def adversarial(rng, rows):
 
 def test_matches_sequential_pass(spark):
     rng = random.Random(11)
-    for trial in range(3):
-        texts = adversarial(rng, 700)
-        kept, exact, near = sequential(texts)
-        for parts in (1, 8, 64):
-            frame = spark.createDataFrame(list(enumerate(texts)), "ord bigint, text string").repartition(
-                parts)
-            groups = dedup.dedup_groups(with_dedup_keys(frame))
-            assert dedup.dedup_counters(groups).first().asDict() == {
-                "before": 700, "exact": exact, "near": near, "kept": len(kept)}
-            result = dedup.deduplicate(frame)
-            assert sorted(r["ord"] for r in result.collect()) == kept
-            assert result.columns == frame.columns
+    texts = adversarial(rng, 1500)
+    kept, exact, near = sequential(texts)
+    for parts in (1, 8, 64):
+        frame = spark.createDataFrame(list(enumerate(texts)), "ord bigint, text string").repartition(parts)
+        groups = dedup.dedup_groups(with_dedup_keys(frame))
+        assert dedup.dedup_counters(groups).first().asDict() == {
+            "before": 1500, "exact": exact, "near": near, "kept": len(kept)}
+        result = dedup.deduplicate(frame)
+        assert sorted(r["ord"] for r in result.collect()) == kept
+        assert result.columns == frame.columns
 
 
 def test_repeat_of_a_dropped_near_duplicate_is_near_again(spark):
