@@ -14,26 +14,30 @@ WS_BODY = (r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
            r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 WS = f"[{WS_BODY}]"
 NOT_WS = f"[^{WS_BODY}]"
-MD_LINK = r"\[([^\]]+)\]\(([^)]+)\)"
 URL = f"http{NOT_WS}+|www\\.{NOT_WS}+"
-TAG = r"<[^>]+>"
 QUOTED_LINE = r"(?dm)^&gt;.*$"  # only \n ends a line
 UNDERSCORES = r"_{2,}"
 
 WS_CHARS = "".join(map(chr, [*range(0x9, 0xe), *range(0x1c, 0x21), 0x85, 0xa0, 0x1680,
                              *range(0x2000, 0x200b), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000]))
 
+# The link \[([^\]]+)\]\(([^)]+)\) and the tag <[^>]+>, each with a second branch for an opening that starts
+# none: it is matched to where the attempt failed and put back. Without it every opening of a text
+# full of them would scan to the end, in quadratic time.
+MD_LINK = r"\[([^\]]++)\]\([^)]++\)|(\[[^\]]*+(?:\](?:\([^)]++\z)?+)?+)"
+TAG = r"<[^>]++>|(<[^>]*+\z)"
+
 # A text holding none of these literals cannot match any of the five markup patterns.
 MARKUP_LITERALS = ["<", "](", "http", "www.", "&gt;", "__"]
 
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` knows only U+0020)."""
-    return F.regexp_replace(text, f"^{WS}+|{WS}+$", "")
+    return F.regexp_replace(text, f"^{WS}++|(?<!{WS}){WS}++\\z", "")
 
 
 def md_link_to_label(text: Column) -> Column:
-    return F.regexp_replace(text, MD_LINK, "$1")
+    return F.regexp_replace(text, MD_LINK, "$1$2")
 
 
 def strip_urls(text: Column) -> Column:
@@ -41,7 +45,7 @@ def strip_urls(text: Column) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    return F.regexp_replace(text, TAG, "")
+    return F.regexp_replace(text, TAG, "$1")
 
 
 def strip_quoted_lines(text: Column) -> Column:

@@ -1,6 +1,7 @@
 """Stored web pages: links, article text, crawl permission."""
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -19,11 +20,12 @@ from evenkeel.plans.staging import Pinned, look_up, pin, stage
 # Parsing functions travel with their tasks: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Markup that holds no links, and anchors with their three ways to quote.
-NO_LINKS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']++)"""
-ATTRIBUTE = rf"""\s++[^\s=>"']++(?:\s*+=\s*+{VALUE})?+"""
-ANCHOR = rf"(?i)<a(?:{ATTRIBUTE})*?\s++href\s*+=\s*+({VALUE})"
+# Markup that holds no links, and anchors with their three ways to quote. The attributes
+# before href repeat possessively: Java matches that in a loop, any other repeated group by recursion.
+NO_LINKS = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+)"""
+OTHER = rf"""[\s/]*+(?!href\s*=)[^\s=>"'/]++(?:\s*+=\s*+{VALUE})?+"""
+ANCHOR = rf"(?i)<a(?=[\s/])(?:{OTHER})*+[\s/]*+href\s*+=\s*+({VALUE})"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
             ("&apos;", "'"), ("&amp;", "&")]
 
@@ -60,6 +62,8 @@ class _Article(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[str] = []
+        self.count: Counter[str] = Counter()  # of the tags in open
+        self.paragraph = -1  # number of elements open around the open paragraph
         self.start: dict[str, int] = {}  # region -> number of elements open around it
         self.closed: set[str] = set()
         self.texts: dict[str, list[str]] = {"main": [], "article": []}
@@ -68,15 +72,17 @@ class _Article(HTMLParser):
     def _end_text(self) -> None:
         text = "".join(self.data).strip()
         self.data.clear()
-        if text and not {"script", "style"}.intersection(self.open):
+        if text and self.count["p"] and not self.count["script"] + self.count["style"]:
             for region, depth in self.start.items():
-                if region not in self.closed and "p" in self.open[depth + 1:]:
+                if region not in self.closed and self.paragraph > depth:
                     self.texts[region].append(text)
 
     def _close(self, tag: str) -> None:
-        if tag in self.open:
-            while self.open.pop() != tag:
-                pass
+        if self.count[tag]:
+            last = None
+            while last != tag:
+                last = self.open.pop()
+                self.count[last] -= 1
             self.closed |= {r for r, depth in self.start.items() if len(self.open) <= depth}
 
     def handle_starttag(self, tag, attrs):
@@ -85,11 +91,13 @@ class _Article(HTMLParser):
             return
         if tag == "p":
             self._close("p")
+            self.paragraph = len(self.open)
         if tag == "div" and dict(attrs).get("id") == "main-content":
             self.start.setdefault("main", len(self.open))
         elif tag == "article":
             self.start.setdefault("article", len(self.open))
         self.open.append(tag)
+        self.count[tag] += 1
 
     def handle_endtag(self, tag):
         self._end_text()

@@ -1,4 +1,5 @@
 import random
+import time
 from urllib import robotparser
 from urllib.parse import urljoin
 
@@ -214,15 +215,15 @@ def test_links_of_real_markup(spark):
     html = """<a href="/d/one">x</a><A class='k' HREF='/d/two?a=1&amp;b=2'>y</A><a href=/d/three>z</a>
       <!-- <a href="/d/comment"> --><script>var a='<a href="/d/script">';</script><a title="a > b"
       href="/d/four">f</a><a data-href="/d/no">n</a><abbr href="/d/no">
-      <a checked href = '/d/five'>5</a><a name="x" disabled><a href="/other">o</a><a href="/d/one">again</a>"""
+      <a checked href = '/d/five'>5</a><a id="k"href="/d/six">6</a><a name="x" disabled><a href="/other">o</a><a href="/d/one">again</a>"""
     frame = spark.createDataFrame([("http://h.example/x/", html)], "url string, html string")
     links = sorted(r["link"] for r in webpages.page_links(frame, "/d/").collect())
-    assert links == [f"http://h.example/d/{p}" for p in ("five", "four", "one", "three", "two?a=1&b=2")]
+    assert links == [f"http://h.example/d/{p}" for p in ("five", "four", "one", "six", "three", "two?a=1&b=2")]
 
 
 def test_links_of_broken_and_long_markup(spark):
     html = ('<a ' + "x" * 50000 + ' ' + 'k="v" ' * 500 + 'href="/d/long">l</a><a title="open href="/d/lost>'
-            + "<a " * 2000 + '<a href="/d/last">')
+            + "<a " * 20000 + '<a href="/d/last">')
     frame = spark.createDataFrame([("http://h.example/", html)], "url string, html string")
     links = {r["link"] for r in webpages.page_links(frame, "/d/").collect()}
     assert {"http://h.example/d/long", "http://h.example/d/last"} <= links
@@ -248,6 +249,12 @@ def test_article_paragraphs(html, want):
     assert webpages._article(html) == want
 
 
+def test_deeply_nested_page_takes_linear_time():
+    start = time.monotonic()
+    assert len(webpages._article("<article><p>" + "<b>x" * 200_000)) == 399_999
+    assert time.monotonic() - start < 20
+
+
 def test_article_length_gate(spark):
     pages = spark.createDataFrame([(i, f"<article><p>{'x' * n}</p></article>")
                                    for i, n in enumerate([99, 100, 101])], "page_id bigint, html string")

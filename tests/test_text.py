@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def test_every_whitespace_character_collapses(spark):
 
 def test_cleaning_and_normalising_match_python(spark):
     rng = random.Random(7)
-    tokens = ["http", "www.", "x.y", "<", ">", "[", "](", ")", "&gt;", "_", "__", "\n", "\r", " ", "a",
+    tokens = ["http", "www.", "x.y", "<", ">", "[", "](", ")", "]", "(", "&gt;", "_", "__", "\n", "\r", " ", "a",
               "É", "ß", "Word", "\U0001f600", "Σ", *WS_CHARS]
     texts = ["".join(rng.choices(tokens, k=rng.randint(0, 24))) for _ in range(4000)]
     assert run(spark, texts, T.clean_text) == [py_clean(t) for t in texts]
@@ -56,6 +57,24 @@ def test_cleaning_and_normalising_match_python(spark):
     assert run(spark, cleaned, T.normalise_cleaned) == run(spark, cleaned, T.normalise)
 
 
+def test_links_and_tags_match_python(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("[]()<>ab", k=rng.randint(0, 30))) for _ in range(6000)]
+    assert run(spark, texts, T.md_link_to_label) == [
+        re.sub(r"\[([^\]]+)\]\(([^)]+)\)", r"\1", t) for t in texts]
+    assert run(spark, texts, T.strip_tags) == [re.sub(r"<[^>]+>", "", t) for t in texts]
+
+
+def test_unclosed_markup_takes_linear_time(spark):
+    n = 300_000
+    texts = ["<" * n, "[" * n, "[" * n + "]", "[a](" * n, "a < b " * n, "x" + " " * n + "x", "&gt;" * n,
+             "_" * n, "http" * n, "[a](b" * n + ")"]
+    start = time.monotonic()
+    run(spark, texts, T.clean_text)
+    run(spark, texts, T.strip)
+    assert time.monotonic() - start < 60
+
+
 @pytest.mark.parametrize("size,kept", [(19, False), (20, True), (16000, True), (16001, False)])
 def test_length_gate(spark, size, kept):
     for char in ("x", "\U0001f600"):
@@ -89,4 +108,4 @@ def test_each_regex_runs_once(spark):
     frame = spark.createDataFrame([("a" * 30,)], "text string")
     plan = T.with_dedup_keys(T.clean_and_filter(frame), cleaned=True)._jdf.queryExecution(
     ).optimizedPlan().toString()
-    assert plan.count("<[^>]+>") == 1 and plan.count("_{2,}") == 1
+    assert plan.count(T.TAG) == 1 and plan.count("_{2,}") == 1
