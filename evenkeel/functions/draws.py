@@ -19,7 +19,8 @@ def _digest(purpose: str, row_id: Column, seed: int) -> Column:
 
 
 def _hex_to_long(hex_digits: Column) -> Column:
-    return F.conv(hex_digits, 16, 10).cast("bigint")
+    # Never null, or every filter on the value would first compute it once more to test for null.
+    return F.coalesce(F.conv(hex_digits, 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def order_key(purpose: str, row_id: Column, seed: int = SEED) -> Column:

@@ -99,12 +99,11 @@ def _narrow(slim: DataFrame, groups: list[str], found: Pinned, rank_at_most: int
             .withColumn("w", F.expr(f"_span div {buckets}L + 1")).drop("c", "_span"))
     offset = F.when(by_key, F.col("_key") - F.col("lo")).otherwise(F.col("_tie") - F.col("tie_lo"))
     inside = _inside(slim, groups, Pinned(wide, found.small)).withColumn("_offset", offset)
-    ranges = ["lo", "hi", "tie_lo", "tie_hi"]
-    hist = (inside.groupBy(*groups, "cut", "target", *ranges, "before", "w",
-                           F.expr("_offset div w").alias("b"))
+    hist = (inside.groupBy(*groups, "cut", F.expr("_offset div w").alias("b"))
             .agg(F.count(F.lit(1)).alias("c")))
     running = F.sum("c").over(Window.partitionBy(*groups, "cut").orderBy("b"))
-    counted = hist.withColumn("upto", F.col("before") + running)
+    counted = (look_up(hist.withColumn("_running", running), Pinned(wide, found.small), [*groups, "cut"])
+               .withColumn("upto", F.col("before") + F.col("_running")))
     ahead = F.col("upto") - F.col("c")
 
     def divided(low: str, high: str, mine: Column) -> tuple[Column, Column]:

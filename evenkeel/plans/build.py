@@ -12,8 +12,9 @@ from evenkeel.operators.metrics import source_breakdown, stage_counts
 from evenkeel.plans.corpus import Corpus, build
 from evenkeel.plans.raw_zone import SourceStatus, combine, run_sources
 from evenkeel.plans.registry import Source
-from evenkeel.plans.staging import staging_area
+from evenkeel.plans.staging import staging_area, stored_bytes
 from evenkeel.schema import RECORD_COLUMNS, RECORD_SCHEMA
+from evenkeel.session import sized_shuffles
 from evenkeel.sources.tables import read_csv
 
 
@@ -69,12 +70,13 @@ def build_corpus(spark: SparkSession, sources: list[Source], raw_root: str, out_
     with staging_area(spark):
         statuses = [] if skip_collect else run_sources(spark, sources, raw_root, force, only)
         records = combine(spark, sources, raw_root)
-        corpus = build(records, seed)
-        save_splits(corpus.rows(), out_folder)
-        counts = corpus_counts(records, corpus).collect()  # sources x labels x stages
-        present = {r["source"] for r in counts if r["stage"] == "combined"}
-        return BuildReport(
-            statuses, [s.name for s in sources if s.name not in present], counts,
-            dedup_counters(corpus.kept).first().asDict(),
-            source_breakdown(corpus.balanced()).collect(),
-            len({r["label"] for r in counts if r["stage"] == "deduplicated"}) < 2)
+        with sized_shuffles(spark, stored_bytes(spark, raw_root)):
+            corpus = build(records, seed)
+            save_splits(corpus.rows(), out_folder)
+            counts = corpus_counts(records, corpus).collect()  # sources x labels x stages
+            present = {r["source"] for r in counts if r["stage"] == "combined"}
+            return BuildReport(
+                statuses, [s.name for s in sources if s.name not in present], counts,
+                dedup_counters(corpus.kept).first().asDict(),
+                source_breakdown(corpus.balanced()).collect(),
+                len({r["label"] for r in counts if r["stage"] == "deduplicated"}) < 2)

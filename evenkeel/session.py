@@ -1,7 +1,14 @@
 """Session settings the library relies on."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
+# Stored bytes per shuffle partition, and the number beyond which more partitions cost more than they help.
+SHUFFLE_BYTES = 256 << 20
+MOST_PARTITIONS = 1 << 16
+
 
 def build_session(master: str | None = None, name: str = "evenkeel", **conf: str) -> SparkSession:
     """A session with adaptive execution; partition counts are left to the cluster's configuration."""
@@ -26,3 +33,20 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, stored_bytes: int) -> Iterator[int]:
+    """Shuffle partitions in proportion to the input, never fewer than configured.
+
+    Adaptive execution merges partitions that turn out small but does not split large ones, so the
+    number to start from has to grow with the data.
+    """
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    wanted = min(-(-stored_bytes // SHUFFLE_BYTES), MOST_PARTITIONS)
+    spark.conf.set(name, str(max(int(configured), wanted)))
+    try:
+        yield max(int(configured), wanted)
+    finally:
+        spark.conf.set(name, configured)

@@ -7,7 +7,9 @@ import pytest
 import __spark_entry__ as entry_point
 from evenkeel.functions.text import clean_and_filter, with_dedup_keys
 from evenkeel.operators.dedup import dedup_groups
+from evenkeel.plans import staging
 from evenkeel.plans.staging import Pinned, look_up
+from evenkeel.session import sized_shuffles
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"article_text", "qa_pairs"}
@@ -52,3 +54,23 @@ def test_large_lookup_is_salted_not_broadcast(spark):
 def test_first_rows_reaches_the_scan(spark):
     plan = plan_of(entry_point.queries()["first_n"](spark, "/root/testdata/sf0.01"))
     assert re.search(r"PushedFilters: \[.*doc_id", plan), plan
+
+
+def test_shuffle_partitions_grow_with_the_input(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with sized_shuffles(spark, 10 << 40) as wanted:
+        assert wanted == 40960 and spark.conf.get(name) == "40960"
+    with sized_shuffles(spark, 1000) as wanted:
+        assert wanted == int(before)
+    assert spark.conf.get(name) == before
+
+
+def test_staging_folder(spark, tmp_path, monkeypatch):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or staging.shared_dir(spark) == configured.rstrip("/")
+    monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
+    with staging.staging_area(spark):
+        assert staging.stage(spark.range(3), "three").count() == 3
+        assert list(tmp_path.glob("evenkeel/run-*/three-*"))
+    assert not list(tmp_path.glob("evenkeel/run-*"))
