@@ -3,18 +3,24 @@
 Both work on narrow rows (``ord``, ``label``, ``source``); texts are joined at the very end.
 """
 
+import hashlib
+from collections import Counter
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel.config import RARE_STRATUM_ROWS, SEED, TRAIN_FRACTION, VAL_FRACTION
 from evenkeel.functions.draws import order_key
 from evenkeel.operators.ranking import Cuts, before_cut, locate_cuts, with_segment
-from evenkeel.plans.staging import Pinned, look_up, pin
+from evenkeel.plans.staging import Pinned, local_table, look_up, pin
 
 SPLITS = ["train", "val", "test"]
+TARGET_SCHEMA = T.StructType([
+    T.StructField("stratum", T.StringType()), T.StructField("rows", T.LongType()),
+    T.StructField("cut", T.IntegerType()), T.StructField("target", T.LongType())])
 WIDE = "decimal(19,0)"  # the product of two row counts does not fit a BIGINT
 
 
@@ -111,6 +117,33 @@ def split_targets(strata: DataFrame, train: str = TRAIN_FRACTION, val: str = VAL
                         (F.col("rows") - F.col("train") - F.col("val")).alias("test"))
 
 
+def share_out(sizes: dict[str, int], drawn: int, seed: int = SEED) -> dict[str, int]:
+    """``drawn`` seats over strata by largest remainder, for sizes the driver knows."""
+    total = sum(sizes.values()) or 1
+    seats = {name: size * drawn // total for name, size in sizes.items()}
+    by_rest = sorted(sizes, key=lambda name: (
+        -(sizes[name] * drawn % total), hashlib.md5(f"{seed}:{name}".encode()).hexdigest()))
+    for name in by_rest[:drawn - sum(seats.values())]:
+        seats[name] += 1
+    return seats
+
+
+def _known_targets(spark: SparkSession, counted: list, train: str, val: str, seed: int) -> Pinned:
+    """``split_targets`` as cuts for a strata table small enough to have been pinned."""
+    sizes: Counter[str] = Counter()
+    for row in counted:
+        sizes[row["stratum"]] += row["rows"]
+    total, train_part = sum(sizes.values()), Fraction(train)
+    train_rows = int(total * train_part)
+    in_train = share_out(sizes, train_rows, seed)
+    left = {name: size - in_train[name] for name, size in sizes.items()}
+    in_val = share_out(left, int((total - train_rows) * (Fraction(val) / (1 - train_part))), seed)
+    rows = [(name, sizes[name], cut, target) for name in sizes
+            for cut, target in enumerate((in_train[name], in_train[name] + in_val[name]))]
+    named = Row("stratum", "rows", "cut", "target")
+    return Pinned(local_table(spark, rows, TARGET_SCHEMA), True, [named(*r) for r in rows])
+
+
 @dataclass
 class SplitPlan:
     """Strata and their cuts: enough to place any row of the table by label, source and ``order``."""
@@ -124,12 +157,15 @@ def split_plan(rows: DataFrame, order: str = "ord", train: str = TRAIN_FRACTION,
     """Count the strata, share out the split sizes and find the rows at which the splits end."""
     counted = pin(strata_counts(rows), "strata")
     names = Pinned(counted.df.select("label", "source", "stratum"), counted.small)
-    strata = counted.df.groupBy("stratum").agg(F.sum("rows").alias("rows"))
-    sizes = split_targets(strata, train, val, seed)
-    targets = pin(sizes.select("stratum", "rows", F.inline(F.array(
-        F.struct(F.lit(0).alias("cut"), F.col("train").alias("target")),
-        F.struct(F.lit(1).alias("cut"), (F.col("train") + F.col("val")).alias("target"))))),
-        "split-targets")
+    if counted.small:
+        targets = _known_targets(rows.sparkSession, counted.rows, train, val, seed)
+    else:
+        strata = counted.df.groupBy("stratum").agg(F.sum("rows").alias("rows"))
+        sizes = split_targets(strata, train, val, seed)
+        targets = pin(sizes.select("stratum", "rows", F.inline(F.array(
+            F.struct(F.lit(0).alias("cut"), F.col("train").alias("target")),
+            F.struct(F.lit(1).alias("cut"), (F.col("train") + F.col("val")).alias("target"))))),
+            "split-targets")
     largest = targets.extent("rows")[1] or 0
     keyed = _split_keyed(rows, names, order, seed)
     cuts = locate_cuts(keyed, ["stratum"], "_key", order,

@@ -12,7 +12,7 @@ smaller than that are sorted at once.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from evenkeel.functions.draws import ORDER_KEY_SPACE
@@ -128,7 +128,8 @@ def _one_row_per_group(cuts: Pinned, groups: list[str], cut_count: int) -> Pinne
     by_group: dict[tuple, dict] = {}
     for r in cuts.rows:
         by_group.setdefault(tuple(r[g] for g in groups), {})[r["cut"]] = r
-    rows = [(*group, *[at[i][name] if i in at else None for _, name, i in fields])
+    named = Row(*groups, *[out for out, _, _ in fields])
+    rows = [named(*group, *[at[i][name] if i in at else None for _, name, i in fields])
             for group, at in by_group.items()]
     schema = cuts.df.select(*groups, *[F.col(name).alias(out) for out, name, _ in fields]).schema
     return Pinned(local_table(cuts.df.sparkSession, rows, schema), True, rows)
@@ -181,7 +182,7 @@ def first_n(rows: DataFrame, n: int, key: Column, tie: str, groups: list[str] =
     cuts = locate_cuts(keyed, groups, "_order", "_tied", targets, 1, largest, span, tie_span,
                        rank_at_most, buckets)
     if groups == ["_all"]:
-        at = cuts.table.df.select("key_0", "tie_0").first()
+        at = cuts.table.rows[0] if cuts.table.rows else cuts.table.df.first()
         last = (F.lit(at["key_0"]), F.lit(at["tie_0"]))
         return keyed.filter(~_beyond(F.col("_order"), F.col("_tied"), *last)).select(*order)
     return before_cut(keyed, "_order", "_tied", cuts).select(*order)

@@ -213,6 +213,8 @@ SQL = {
         SELECT ord, text, label, source, split FROM assigned""",
     "clean_gate_truncate": f"""WITH t AS (SELECT doc_id, {_clean("text")} AS text FROM documents)
         SELECT doc_id, {_truncate("text")} AS text FROM t WHERE length(text) BETWEEN 20 AND 16000""",
+    "cleaned_keys": f"""WITH {_cleaned("SELECT doc_id, doc_id AS ord, text FROM documents")}
+        SELECT doc_id, text, ek AS exact_key, pk AS prefix_key FROM k""",
     "md_link": f"SELECT page_id, {_link(LINKED)} AS text FROM pages",
     "strip_url": f"SELECT page_id, {_url(LINKED)} AS text FROM pages",
     "strip_tags": f"SELECT page_id, {_tag('html')} AS text FROM pages",

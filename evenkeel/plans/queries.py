@@ -97,6 +97,10 @@ def clean_gate_truncate(spark, folder):
     return T.clean_and_filter(_documents(spark, folder))
 
 
+def cleaned_keys(spark, folder):
+    return T.with_dedup_keys(T.clean_and_filter(_documents(spark, folder)), cleaned=True)
+
+
 # --- records and dedup --------------------------------------------------------------------------
 
 def make_records(spark, folder):
@@ -373,7 +377,7 @@ def robots_filter(spark, folder):
 
 
 def _order_attempts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(F.col("o_orderkey").alias("attempt"))
+    return spread(table(spark, folder, "orders").select(F.col("o_orderkey").alias("attempt")))
 
 
 def template_fill(spark, folder):
@@ -396,7 +400,7 @@ def informalise(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    flagship_split, clean_gate_truncate, md_link, strip_url, strip_tags, strip_quotes,
+    flagship_split, clean_gate_truncate, cleaned_keys, md_link, strip_url, strip_tags, strip_quotes,
     strip_underscores, collapse_ws, clean_text, length_gate, truncate_sentence, normalise_keys,
     make_records, dedup_kept, dedup_counters, sample_exact_n, sample_per_group, first_n,
     quota_per_topic, label_counts, class_minimum, balance_classes, rare_strata, split_targets,

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.config import LINK_FRAGMENT, MIN_ARTICLE_CHARS
-from evenkeel.functions.text import fence
 from evenkeel.functions.urls import host, path_and_query, percent_decoded, resolve
 from evenkeel.operators.records import make_records
 from evenkeel.operators.sampling import first_rows
