@@ -16,7 +16,9 @@ def build_session(master: str | None = None, name: str = "evenkeel", **conf: str
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               # Python sees whole pages and files: a thousand of them are a batch of tolerable size.
+               .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
