@@ -27,7 +27,7 @@ def skewed_rows(rng, size):
 
 
 @pytest.mark.parametrize("rank_at_most,buckets,sizes", [
-    (100000, 4096, (0, 1, 133, 5000)), (50, 16, (1, 400)), (1, 8, (133,))])
+    (100000, 4096, (0, 1, 133, 5000)), (50, 16, (1, 400)), (1, 64, (133,))])
 @pytest.mark.parametrize("groups", [[], ["g"]])
 def test_first_n_matches_sorting(spark, rank_at_most, buckets, sizes, groups):
     rows = skewed_rows(random.Random(2), 1200)
@@ -41,7 +41,7 @@ def test_first_n_with_many_groups(spark, many_groups):
     rows = skewed_rows(random.Random(4), 600)
     frame = spark.createDataFrame(rows, "g string, k bigint, id bigint")
     for groups in ([], ["g"]):
-        got = first_n(frame, 37, F.col("k"), "id", groups, rank_at_most=20, buckets=8)
+        got = first_n(frame, 37, F.col("k"), "id", groups, rank_at_most=40, buckets=64)
         assert sorted(map(tuple, got.collect())) == expected(rows, 37, groups)
 
 
