@@ -2,8 +2,9 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from evenkeel.llm import bpe, packing, token_counts, varbyte
+from evenkeel.llm import bpe, language_id, packing, quality_rules, token_counts, topk_blocks, varbyte
 from evenkeel.plans.staging import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +23,19 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, folder), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(_documents(spark, folder))
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return topk_blocks.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_documents(spark, folder), public_tokenizers.path(WORD_BPE))
 
@@ -32,5 +46,23 @@ def op8_token_id_files(spark: SparkSession, folder: str) -> DataFrame:
     return varbyte.read_ids(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op7_bpe_round_trip, op8_token_id_files)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_token_counts, op3_language_id, op5_quality_rules, op6_exact_top_k,
+    op7_bpe_round_trip, op8_token_id_files)}
+
+SQL = {
+    "op6_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, d.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, d.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+        r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank
+            FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
