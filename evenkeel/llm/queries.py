@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import bpe, language_id, ngram_join, packing, quality_rules, token_counts, topk_blocks, varbyte
+from evenkeel.llm import bpe, language_id, language_model, ngram_join, packing, quality_rules, token_counts, topk_blocks, varbyte
 from evenkeel.plans.staging import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -50,9 +50,14 @@ def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.link_groups(_documents(spark, folder))
 
 
+def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(_documents(spark, folder))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_token_counts, op3_language_id, op5_quality_rules, op6_exact_top_k,
-    op7_bpe_round_trip, op8_token_id_files, op9_ngram_jaccard)}
+    op7_bpe_round_trip, op8_token_id_files, op9_ngram_jaccard,
+    op10_language_model)}
 
 SQL = {
     "op6_exact_top_k": """
