@@ -23,7 +23,7 @@ SHINGLE = 3
 # Links have an overlap of at least NUMERATOR / DENOMINATOR of the union.
 NUMERATOR, DENOMINATOR = 90, 100
 LISTED = 5  # one shingle in so many is listed first, in the order of its frequency
-MOST_PIVOTS = 16  # of a list in a round
+MOST_PIVOTS = 64  # of a list in a round
 BITS = np.uint64((1 << 48) - 1)
 
 
@@ -106,7 +106,11 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """``token, doc, n``: each class at the shared shingles of its prefix, the rarest first."""
+    """``token, doc, n, shallow``: each class at the shared shingles of its prefix, the rarest first.
+
+    Linked sets meet at their first common shingle, where not both can be deeper in their order than a set may
+    miss in one of equal size; so a list only needs to compare its shallow sets with all.
+    """
     tokens = classes.select("row", "n", "prefix", "early", F.explode("listed").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     late = F.col("token") % LISTED != 0
@@ -114,10 +118,18 @@ def _postings(classes: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.when(~late, F.struct("df", "token")))).alias("t"),
         F.collect_list(F.when(late, F.col("token"))).alias("rest"))
     # Early shingles of this class alone come first; they take up places of the prefix and meet nothing.
-    places = F.greatest(F.lit(0), F.col("prefix") - F.col("early") + F.size("t")).cast("int")
-    return by_class.select(
-        F.explode(F.concat(F.slice("t", F.lit(1), places)["token"], F.col("rest"))).alias("token"),
-        F.col("row").alias("doc"), "n")
+    alone = F.col("early") - F.size("t")
+    listed = F.transform(F.slice("t", F.lit(1), F.greatest(F.lit(0), F.col("prefix") - alone).cast("int")),
+                         lambda x, i: F.struct(x["token"].alias("token"), (
+                             alone + i <= _missing(F.col("n"))).alias("shallow")))
+    rest = F.transform("rest", lambda token: F.struct(token.alias("token"), F.lit(True).alias("shallow")))
+    return by_class.select(F.explode(F.concat(listed, rest)).alias("p"), F.col("row").alias("doc"), "n").select(
+        "p.token", "doc", "n", "p.shallow")
+
+
+def _missing(n: F.Column) -> F.Column:
+    """How many of its shingles a set may miss in one of its size that it links with."""
+    return F.floor(n * (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR))
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -155,7 +167,7 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     whole = NUMERATOR + DENOMINATOR
     pivots_of_a_list = 1
     while True:
-        chosen = lists.groupBy("token", F.pmod(F.xxhash64("doc"), F.lit(pivots_of_a_list)).alias("class")).agg(
+        chosen = lists.filter("shallow").groupBy("token", F.pmod(F.xxhash64("doc"), F.lit(pivots_of_a_list)).alias("class")).agg(
             F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("p"))
         chosen = stage(chosen.select("token", F.col("p.doc").alias("pivot"), F.col("p.n").alias("n_pivot")), "pivots")
         met = stage(lists.join(chosen, "token").filter("doc <> pivot"), "met")
@@ -172,9 +184,9 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
             F.max(whole * F.col("shared") - NUMERATOR * F.col("n")).alias("most"))
         answered = F.col("linked") & (F.col("most").isNull() | (
             whole * F.col("shared") - DENOMINATOR * F.col("n") > F.col("most")))
-        rest = known.join(most, ["token", "pivot"], "left").groupBy("token", "doc", "n").agg(
+        rest = known.join(most, ["token", "pivot"], "left").groupBy("token", "doc", "n", "shallow").agg(
             F.bool_or(answered).alias("answered")).filter("NOT answered")
-        lists = stage(rest.select("token", "doc", "n").join(
+        lists = stage(rest.select("token", "doc", "n", "shallow").join(
             chosen.select("token", F.col("pivot").alias("doc")), ["token", "doc"], "left_anti"), "postings")
         # What is left are lists of few links: more pivots settle them in fewer rounds, at a bounded cost a row.
         pivots_of_a_list = min(4 * pivots_of_a_list, MOST_PIVOTS)
