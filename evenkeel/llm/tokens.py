@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHED = 400_000
+CACHED = 250_000
+AT_ONCE = 4 << 20  # bytes of text whose chunks are laid out at a time
 MARK = "\x1f"
 
 # Chunks of these characters are normalised and split by the plain patterns below; any other by the library.
@@ -123,6 +124,13 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids start (one more at the end), and all ids in a row."""
+        sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(sizes // AT_ONCE)) + 1).tolist(), len(column)]
+        done = [self._encode(column.slice(a, b - a)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for b, _ in done]))])
+        return bounds.astype(np.int64), np.concatenate([ids for _, ids in done])
+
+    def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.codes) > CACHED or len(self.known) > CACHED:
             self.forget()
         lists, odd = self.vocab.cut(column)
