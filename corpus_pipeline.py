@@ -1,13 +1,51 @@
-"""A corpus pipeline of the operators in ``evenkeel.llm``."""
+"""A corpus pipeline of the operators in ``evenkeel.llm``: from raw documents to packed token sequences.
 
+Each stage takes all that the one before it kept; all but the last return the columns of ``documents``.
+"""
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from evenkeel.llm import language_id, ngram_join, packing, quality_rules, suffix_dedup
+from evenkeel.plans.staging import stage
+
+LEAST_LANGUAGE_SCORE = 0.2
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules learned from ``labels`` keep."""
+    return quality_rules.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; those without a letter and those like no profile go."""
+    return language_id.in_known_language(docs, LEAST_LANGUAGE_SCORE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every group linked by five-word shingles at 0.8 or more."""
+    return ngram_join.one_of_each_group(docs, shingle=5, least=80)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 100-byte strings that an earlier place has too."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all token pieces in sequences of 1024."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_rules", good_quality), ("language_id", known_language), ("ngram_jaccard_join", near_duplicates),
+          ("suffix_array_dedup", repeated_strings), ("best_fit_packing", packed)]
+
+# Tokens, learned rules and profiles are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -108,22 +108,26 @@ def identify(docs: DataFrame, others: tuple[str, ...] = (), profiles: Profiles |
     is not held out and not learned from. Repeated rows give repeated rows.
     """
     known = docs.sparkSession.sparkContext.broadcast(profiles or learn(docs))
+    text = "text" if "text" in others else "_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [known.value.predict(t) for t in batch["_text"].to_pylist()]
+            found = [known.value.predict(t) for t in batch[text].to_pylist()]
             kept = [n for n in batch.schema.names if n != "_text"]
             yield pa.RecordBatch.from_arrays(
                 [*[batch[n] for n in kept], pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], [*kept, "lang_pred", "score"])
 
     rows = docs.select("doc_id", *[c for c in others if c != "doc_id"], held_out().alias("held_out"),
-                       F.col("text").alias("_text"))
+                       *([] if text == "text" else [F.col("text").alias("_text")]))
     kind = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "_text")
     return rows.mapInArrow(run, kind + ", lang_pred string, score double")
 
 
 def in_known_language(docs: DataFrame, least: float) -> DataFrame:
     """The documents whose language is found with at least the given score, in their own columns."""
-    found = identify(docs, tuple(docs.columns))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    renamed = docs.withColumnsRenamed(own)
+    found = identify(renamed, tuple(renamed.columns), learn(docs))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(
+        *[F.col(own.get(c, c)).alias(c) for c in docs.columns])

@@ -20,13 +20,16 @@ from evenkeel.llm.words import joined, word_codes
 from evenkeel.plans.staging import stage
 
 SHINGLE = 3
-# Links have an overlap of at least NUMERATOR / DENOMINATOR of the union.
-NUMERATOR, DENOMINATOR = 90, 100
-LISTED = 5  # one shingle in so many is listed first, in the order of its frequency
+LEAST = 90  # links have an overlap of at least so many hundredths of the union
 MOST_PIVOTS = 64  # of a list in a round
 BITS = np.uint64((1 << 48) - 1)
 
 
+def _residue(least: int) -> int:
+    """One shingle in so many is listed first, in the order of its frequency: more than a prefix takes."""
+    return max(1, 60 // (100 - least)) if least < 100 else 100
+
+
 def _pack(keys: np.ndarray) -> bytes:
     return (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (keys >> np.uint64(32)).astype("<u2").tobytes()
 
@@ -63,22 +66,24 @@ def _print(keys: np.ndarray) -> tuple[int, int]:
             int(joined(mixed, mixed).sum(dtype=np.uint64).view(np.int64)))
 
 
-def shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
     """``doc_id, n`` (size of the set), ``a, b`` (its fingerprint), ``prefix, early, listed`` per document.
 
     ``prefix`` is how many shingles, in any order common to all sets, a set must list to meet every set that
-    it links with. ``listed`` are the ``early`` ones, with a hash divisible by LISTED, whose order is refined
+    it links with. ``listed`` are the ``early`` ones, with a hash divisible by the residue, whose order is refined
     by frequency, and, if these are too few, others by hash.
     """
+    residue = np.uint64(_residue(least))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, listed = [], []
             for keys in _sets(batch["text"], shingle):
                 n = len(keys)
-                prefix = n - -(-n * NUMERATOR // DENOMINATOR) + 1 if n else 0
-                early = keys[keys % LISTED == 0]
+                prefix = n - -(-n * least // 100) + 1 if n else 0
+                early = keys[keys % residue == 0]
                 rows.append((n, *_print(keys), prefix, len(early)))
-                late = keys[keys % LISTED != 0][:prefix - len(early)] if prefix > len(early) else keys[:0]
+                late = keys[keys % residue != 0][:prefix - len(early)] if prefix > len(early) else keys[:0]
                 listed.append(np.concatenate([early, late]).astype(np.int64))
             numbers = np.array(rows, np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays(
@@ -105,7 +110,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(run, "row bigint, shingles binary")
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, least: int) -> DataFrame:
     """``token, doc, n, shallow``: each class at the shared shingles of its prefix, the rarest first.
 
     Linked sets meet at their first common shingle, where not both can be deeper in their order than a set may
@@ -113,7 +118,7 @@ def _postings(classes: DataFrame) -> DataFrame:
     """
     tokens = classes.select("row", "n", "prefix", "early", F.explode("listed").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    late = F.col("token") % LISTED != 0
+    late = F.col("token") % _residue(least) != 0
     by_class = tokens.join(shared, "token").groupBy("row", "n", "prefix", "early").agg(
         F.sort_array(F.collect_list(F.when(~late, F.struct("df", "token")))).alias("t"),
         F.collect_list(F.when(late, F.col("token"))).alias("rest"))
@@ -121,17 +126,12 @@ def _postings(classes: DataFrame) -> DataFrame:
     alone = F.col("early") - F.size("t")
     listed = F.transform(F.slice("t", F.lit(1), F.greatest(F.lit(0), F.col("prefix") - alone).cast("int")),
                          lambda x, i: F.struct(x["token"].alias("token"), (
-                             alone + i <= _missing(F.col("n"))).alias("shallow")))
+                             alone + i <= F.floor(F.col("n") * (100 - least) / (100 + least))).alias("shallow")))
     rest = F.transform("rest", lambda token: F.struct(token.alias("token"), F.lit(True).alias("shallow")))
     return by_class.select(F.explode(F.concat(listed, rest)).alias("p"), F.col("row").alias("doc"), "n").select(
         "p.token", "doc", "n", "p.shallow")
 
 
-def _missing(n: F.Column) -> F.Column:
-    """How many of its shingles a set may miss in one of its size that it links with."""
-    return F.floor(n * (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR))
-
-
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pivot, doc, shared``: the exact overlap of each pair of classes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,17 +154,17 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.max("shared").alias("shared"))
 
 
-def class_links(classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+def class_links(classes: DataFrame, docs: DataFrame, shingle: int, least: int) -> DataFrame:
     """``u, v``: links that connect all classes of a group, found round by round as told above.
 
     ``classes`` has ``row, doc_id, n, a, b, prefix, early, listed``, one row per different set.
     """
-    lists = stage(_postings(classes), "postings")
+    lists = stage(_postings(classes, least), "postings")
     listed = lists.select(F.col("doc").alias("row")).distinct()
     sets = stage(_full_sets(docs, classes.join(listed, "row", "left_semi").select(
         "row", "doc_id", "n", "a", "b"), shingle), "sets")
     links = [classes.sparkSession.createDataFrame([], "u bigint, v bigint")]
-    whole = NUMERATOR + DENOMINATOR
+    whole = 100 + least
     pivots_of_a_list = 1
     while True:
         chosen = lists.filter("shallow").groupBy("token", F.pmod(F.xxhash64("doc"), F.lit(pivots_of_a_list)).alias("class")).agg(
@@ -175,15 +175,15 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
             break
         found = stage(_overlaps(met.select("pivot", "doc").distinct(), sets), "overlaps")
         known = met.join(found, ["pivot", "doc"]).withColumn(
-            "linked", whole * F.col("shared") >= NUMERATOR * (F.col("n") + F.col("n_pivot")))
+            "linked", whole * F.col("shared") >= least * (F.col("n") + F.col("n_pivot")))
         links.append(stage(known.filter("linked").select(
             F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct(), "links"))
         # An unlinked y and a linked z of a pivot share at most shared(y) + n(z) - shared(z). Where that is too
         # little for every y, whatever z links with has the same pivot, and z leaves the list.
         most = known.filter(~F.col("linked")).groupBy("token", "pivot").agg(
-            F.max(whole * F.col("shared") - NUMERATOR * F.col("n")).alias("most"))
+            F.max(whole * F.col("shared") - least * F.col("n")).alias("most"))
         answered = F.col("linked") & (F.col("most").isNull() | (
-            whole * F.col("shared") - DENOMINATOR * F.col("n") > F.col("most")))
+            whole * F.col("shared") - 100 * F.col("n") > F.col("most")))
         rest = known.join(most, ["token", "pivot"], "left").groupBy("token", "doc", "n", "shallow").agg(
             F.bool_or(answered).alias("answered")).filter("NOT answered")
         lists = stage(rest.select("token", "doc", "n", "shallow").join(
@@ -193,17 +193,17 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     return reduce(DataFrame.union, links)
 
 
-def link_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def link_groups(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
     A null text, or one without words, has the empty set, links with nothing and is its own component. Rows
     that repeat a ``doc_id`` with different texts are separate sets. A row with a null ``doc_id`` takes no
     part and has a null component. An empty table gives no rows.
     """
-    sets = stage(shingle_sets(docs, shingle).withColumn("row", F.monotonically_increasing_id()), "sets")
+    sets = stage(shingle_sets(docs, shingle, least).withColumn("row", F.monotonically_increasing_id()), "sets")
     classes = stage(sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("n", "a", "b").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("least")), "classes")
-    links = class_links(sets.join(classes.select("row"), "row"), docs, shingle)
+    links = class_links(sets.join(classes.select("row"), "row"), docs, shingle, least)
     found = components(links).withColumnRenamed("u", "row")
     named = stage(classes.join(found, "row", "left").withColumn("component", F.coalesce("component", "row")), "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -213,7 +213,7 @@ def link_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def one_of_each_group(docs: DataFrame, shingle: int = 5, least: int = 80) -> DataFrame:
     """The documents that are the smallest of their group, in their own columns; null ids stay."""
-    dropped = link_groups(docs, shingle).filter("doc_id <> component_id").select("doc_id").distinct()
+    dropped = link_groups(docs, shingle, least).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

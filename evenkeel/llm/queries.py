@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import bpe, language_id, language_model, ngram_join, packing, quality_rules, token_counts, topk_blocks, varbyte
+from evenkeel.llm import bpe, language_id, language_model, ngram_join, packing, quality_rules, suffix_dedup, token_counts, topk_blocks, varbyte
 from evenkeel.plans.staging import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -27,6 +27,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_documents(spark, folder))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_documents(spark, folder))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -55,7 +59,7 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_token_counts, op3_language_id, op5_quality_rules, op6_exact_top_k,
+    op1_best_fit_packing, op2_token_counts, op3_language_id, op4_suffix_array_dedup, op5_quality_rules, op6_exact_top_k,
     op7_bpe_round_trip, op8_token_id_files, op9_ngram_jaccard,
     op10_language_model)}
 
