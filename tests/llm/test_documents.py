@@ -54,8 +54,10 @@ def test_quality(spark, documents, odd, nothing):
         for r in rows:
             failed = r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
             assert r["base_failed"] == failed and not (failed and r["kept"])
-    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
-    rows = quality_rules.judge(documents, labels).collect()
+    larger = "/root/testdata/sf0.01"  # enough labels to learn from
+    known = spark.read.parquet(f"{larger}/labels.parquet")
+    quality = {r["doc_id"]: r["quality"] for r in known.collect()}
+    rows = quality_rules.judge(spark.read.parquet(f"{larger}/documents.parquet"), known).collect()
     good = [r["kept"] for r in rows if quality.get(r["doc_id"]) == 1 and not r["base_failed"]]
     bad = [r["kept"] for r in rows if quality.get(r["doc_id"]) == 0]
     assert np.mean(good) > 0.95 and np.mean(bad) < 0.5
@@ -69,7 +71,7 @@ def test_quality(spark, documents, odd, nothing):
 def test_rules_are_learned_in_order(spark):
     stats = spark.range(3000).select(
         F.col("id").alias("doc_id"), *[F.lit(100).cast("bigint").alias(c) for c in quality_rules.STATISTICS]).withColumns(
-        {"n_symbols": F.col("doc_id") % 10, "n_marks": F.col("doc_id") % 7})
+        {"n_symbols": F.col("doc_id") % 10, "n_marks": F.col("doc_id") % 7, "n_repeat_words": F.lit(0)})
     labels = stats.select("doc_id", ((F.col("n_symbols") < 7) & (F.col("n_marks") < 6)).cast("int").alias("quality"))
     kept = stats.select("doc_id", quality_rules.learn(stats, labels).kept().alias("kept")).join(labels, "doc_id")
     assert kept.filter(F.col("kept") != (F.col("quality") == 1)).isEmpty()
