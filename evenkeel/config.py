@@ -66,8 +66,6 @@ MEMBERS_PER_CATEGORY = 200
 # Forum categories left out.
 EXCLUDED_CATEGORIES = ["sci.med"]
 
-# Crawled pages.
-PAGE_BASE_URL = "https://www.mayoclinic.org"
 LINK_FRAGMENT = "/diseases-conditions/"
 MIN_ARTICLE_CHARS = 100
 

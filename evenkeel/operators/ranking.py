@@ -21,7 +21,8 @@ from evenkeel.plans.staging import Pinned, local_table, look_up, pin
 BUCKETS = 4096
 RANK_AT_MOST = 200_000
 HASH_RANGE = (0, ORDER_KEY_SPACE - 1)
-ANY_ID = (0, (1 << 63) - 1)
+ANY_ID = (-(1 << 63), (1 << 63) - 1)
+WIDE = "decimal(38,0)"  # spans of BIGINT ranges need not fit in a BIGINT
 
 
 @dataclass
@@ -46,7 +47,9 @@ def locate_cuts(rows: DataFrame, groups: list[str], key: str, tie: str, targets:
     rows before the cut. ``key`` and ``tie`` are BIGINT columns that order the rows of a group
     strictly, with values in the given ranges (ends included).
     """
-    slim = rows.select(*groups, F.col(key).alias("_key"), F.col(tie).alias("_tie"))
+    known = F.when(F.col(tie).isNull(), F.raise_error(F.lit(f"null {tie}: rows need an id to be ordered"))).otherwise(
+        F.col(tie))
+    slim = rows.select(*groups, F.col(key).alias("_key"), known.cast("bigint").alias("_tie"))
     bounds = {"lo": key_range[0], "hi": key_range[1], "tie_lo": tie_range[0], "tie_hi": tie_range[1],
               "before": 0, "c": largest_group}
     wanted = targets.df.filter(F.col("target") > 0).withColumns(
@@ -94,10 +97,14 @@ def _narrow(slim: DataFrame, groups: list[str], found: Pinned, rank_at_most: int
     key shared by a third of all rows is no obstacle.
     """
     by_key = F.col("hi") > F.col("lo")
-    span = F.when(by_key, F.col("hi") - F.col("lo")).otherwise(F.col("tie_hi") - F.col("tie_lo"))
+
+    def minus(a: str, b: str) -> Column:
+        return F.col(a).cast(WIDE) - F.col(b).cast(WIDE)
+
+    span = F.when(by_key, minus("hi", "lo")).otherwise(minus("tie_hi", "tie_lo"))
     wide = (found.df.filter(_too_big(rank_at_most)).withColumn("_span", span)
             .withColumn("w", F.expr(f"_span div {buckets}L + 1")).drop("c", "_span"))
-    offset = F.when(by_key, F.col("_key") - F.col("lo")).otherwise(F.col("_tie") - F.col("tie_lo"))
+    offset = F.when(by_key, minus("_key", "lo")).otherwise(minus("_tie", "tie_lo"))
     inside = _inside(slim, groups, Pinned(wide, found.small)).withColumn("_offset", offset)
     hist = (inside.groupBy(*groups, "cut", F.expr("_offset div w").alias("b"))
             .agg(F.count(F.lit(1)).alias("c")))
@@ -107,10 +114,10 @@ def _narrow(slim: DataFrame, groups: list[str], found: Pinned, rank_at_most: int
     ahead = F.col("upto") - F.col("c")
 
     def divided(low: str, high: str, mine: Column) -> tuple[Column, Column]:
-        start = F.col(low) + F.col("b") * F.col("w")
-        end = F.least(start + (F.col("w") - 1), F.col(high))
-        return (F.when(mine, start).otherwise(F.col(low)).alias(low),
-                F.when(mine, end).otherwise(F.col(high)).alias(high))
+        start = F.col(low).cast(WIDE) + F.col("b").cast("decimal(18,0)") * F.col("w").cast("decimal(19,0)")
+        end = F.least(start + (F.col("w") - 1), F.col(high).cast(WIDE))
+        return (F.when(mine, start).otherwise(F.col(low)).cast("bigint").alias(low),
+                F.when(mine, end).otherwise(F.col(high)).cast("bigint").alias(high))
 
     hit = (counted.filter((ahead < F.col("target")) & (F.col("target") <= F.col("upto")))
            .select(*groups, "cut", "target", *divided("lo", "hi", by_key),

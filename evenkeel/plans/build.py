@@ -12,7 +12,7 @@ from evenkeel.operators.metrics import source_breakdown, stage_counts
 from evenkeel.plans.corpus import Corpus, build
 from evenkeel.plans.raw_zone import SourceStatus, combine, run_sources
 from evenkeel.plans.registry import Source
-from evenkeel.plans.staging import staging_area, stored_bytes
+from evenkeel.plans.staging import replaced, staging_area, stored_bytes
 from evenkeel.schema import RECORD_COLUMNS, RECORD_SCHEMA
 from evenkeel.session import sized_shuffles
 from evenkeel.sources.tables import read_csv
@@ -38,10 +38,11 @@ def save_splits(corpus_rows: DataFrame, folder: str) -> None:
 
     Quotes are doubled, as other CSV readers expect; leading and trailing spaces are kept.
     """
-    (corpus_rows.select(*RECORD_COLUMNS, "split").write.mode("overwrite").partitionBy("split")
-     .option("header", True).option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(folder))
+    with replaced(corpus_rows.sparkSession, folder) as new:
+        (corpus_rows.select(*RECORD_COLUMNS, "split").write.partitionBy("split")
+         .option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(new))
 
 
 def load_splits(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,13 +6,12 @@ only what is missing. Reading prunes to the folders of the wanted sources.
 
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.plans.registry import Source
-from evenkeel.plans.staging import path_exists
+from evenkeel.plans.staging import path_exists, replaced
 from evenkeel.schema import (
     RECORD_COLUMNS, RECORD_SCHEMA, SOURCE_SCHEMA, pack_ord, to_source_rows)
 from evenkeel.session import spread
@@ -26,9 +25,10 @@ def source_path(root: str, name: str) -> str:
 
 
 def save_partial(records: DataFrame, root: str, name: str) -> str:
-    """Replace the stored records of one source. Other sources are not touched."""
+    """Replace the stored records of one source once the new ones are written. Others are not touched."""
     path = source_path(root, name)
-    to_source_rows(records).drop("source").write.mode("overwrite").parquet(path)
+    with replaced(records.sparkSession, path) as new:
+        to_source_rows(records).drop("source").write.parquet(new)
     return path
 
 
@@ -81,7 +81,7 @@ def run_sources(spark: SparkSession, sources: list[Source], root: str, force: bo
             save_partial(source.collect(spark), root, source.name)
             status = "built" if has_rows(spark, root, source.name) else "empty"
             report.append(SourceStatus(source.name, status))
-        except (PySparkException, OSError, ValueError, KeyError, RuntimeError) as error:
+        except Exception as error:  # whatever it is, it costs this source only
             report.append(SourceStatus(source.name, "failed", str(error)))
     return report
 

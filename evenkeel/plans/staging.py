@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 PIN_ROWS = 20_000
 PIN_BYTES = 8 << 20
 SALTS = 64
+NARROW = ("bigint", "int", "smallint", "tinyint", "date", "timestamp", "double", "float")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -83,6 +84,28 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return file_system.getContentSummary(hadoop_path).getLength()
 
 
+@contextmanager
+def replaced(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside ``path`` to write to, which takes its place only when the block has succeeded."""
+    home, name = path.rstrip("/").rsplit("/", 1)
+    new, old = (f"{home}/_{word}-{name}-{uuid.uuid4().hex}" for word in ("new", "old"))
+    at, fresh, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old))
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        yield new
+    except BaseException:
+        files.delete(fresh, True)
+        raise
+    there = files.exists(at)
+    if there and not files.rename(at, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(fresh, at):
+        if there:
+            files.rename(aside, at)
+        raise OSError(f"cannot put {new} in the place of {path}")
+    files.delete(aside, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
@@ -138,8 +161,10 @@ def look_up(big: DataFrame, table: Pinned, on: list[str], how: str = "inner") ->
     keys = [f"_k_{c}" for c in on]
     if table.small:
         return big.join(F.broadcast(side), condition, how).drop(*keys)
-    salted = big.withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(SALTS)).cast("int"))
+    # Narrow columns spread the rows; texts are hashed only where a table has nothing else.
+    narrow = [c for c, kind in big.dtypes if c not in on and kind in NARROW] or [
+        c for c, kind in big.dtypes if not kind.startswith("map")]
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*narrow), F.lit(SALTS)).cast("int"))
     spread = side.withColumn("_k_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = salted.join(spread, condition & (F.col("_salt") == F.col("_k_salt")), how)
     return joined.drop(*keys, "_salt", "_k_salt")

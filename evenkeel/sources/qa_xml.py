@@ -42,8 +42,8 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, content in zip(batch["path"], batch["content"]):
             try:
                 root = ElementTree.fromstring(content)
-            except ElementTree.ParseError:
-                continue
+            except (ElementTree.ParseError, LookupError, ValueError, TypeError):
+                continue  # damaged, in an unknown or unusable encoding, or absent: the file has no pairs
             pairs = root.iter("QAPair")
             rows.extend((path, i, _child_text(p, "Question"), _child_text(p, "Answer"))
                         for i, p in enumerate(pairs))

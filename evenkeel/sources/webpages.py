@@ -102,6 +102,9 @@ class _Article(HTMLParser):
         self._end_text()
         self._close(tag)
 
+    def parse_marked_section(self, i, report=1):
+        return self.parse_bogus_comment(i)  # an unknown <![...]> is skipped up to its end
+
     def handle_comment(self, data):
         self._end_text()
 
