@@ -165,7 +165,7 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, least: int) -
         "row", "doc_id", "n", "a", "b"), shingle), "sets")
     links = [classes.sparkSession.createDataFrame([], "u bigint, v bigint")]
     whole = 100 + least
-    pivots_of_a_list = 1
+    pivots_of_a_list, answers = 1, None
     while True:
         chosen = lists.filter("shallow").groupBy("token", F.pmod(F.xxhash64("doc"), F.lit(pivots_of_a_list)).alias("class")).agg(
             F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("p"))
@@ -173,7 +173,13 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, least: int) -
         met = stage(lists.join(chosen, "token").filter("doc <> pivot"), "met")
         if met.isEmpty():
             break
-        found = stage(_overlaps(met.select("pivot", "doc").distinct(), sets), "overlaps")
+        pairs = met.select("pivot", "doc").distinct()
+        if answers is not None:  # a pair that another list has had compared is not compared again
+            pairs = pairs.join(answers, ["pivot", "doc"], "left_anti")
+        new = stage(_overlaps(pairs, sets), "overlaps")
+        new = new.union(new.select(F.col("doc").alias("pivot"), F.col("pivot").alias("doc"), "shared"))
+        answers = new if answers is None else answers.union(new)
+        found = answers.distinct()
         known = met.join(found, ["pivot", "doc"]).withColumn(
             "linked", whole * F.col("shared") >= least * (F.col("n") + F.col("n_pivot")))
         links.append(stage(known.filter("linked").select(
