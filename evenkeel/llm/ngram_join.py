@@ -4,11 +4,11 @@ Equal sets are one class with a representative. A class lists its rarest shingle
 above the similarity shares one of them), and lists are not crossed with themselves: each compares its sets
 with a pivot. How much a set shares with the pivot bounds what it can share with a set that the pivot links:
 where the bound is too low, or both are linked already, the pair is skipped unseen, as its answer follows from
-the pivot's. The other sets go on to the next round under a new pivot, so that no link between groups is lost.
+the pivot's. Sets that links of earlier rounds connect carry one label and are not compared either. The other sets
+go on to the next round under new pivots, so that no link between groups is lost.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from evenkeel.plans.staging import stage
 
 SHINGLE = 3
 LEAST = 90  # links have an overlap of at least so many hundredths of the union
-MOST_PIVOTS = 64  # of a list in a round
+MOST_PIVOTS = 1024  # of a list in a round
 BITS = np.uint64((1 << 48) - 1)
 
 
@@ -160,43 +160,68 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, least: int) -
     ``classes`` has ``row, doc_id, n, a, b, prefix, early, listed``, one row per different set.
     """
     lists = stage(_postings(classes, least), "postings")
-    listed = lists.select(F.col("doc").alias("row")).distinct()
-    sets = stage(_full_sets(docs, classes.join(listed, "row", "left_semi").select(
+    labels = stage(lists.select("doc").distinct().withColumn("label", F.col("doc")), "labels")
+    sets = stage(_full_sets(docs, classes.join(labels.select(F.col("doc").alias("row")), "row", "left_semi").select(
         "row", "doc_id", "n", "a", "b"), shingle), "sets")
-    links = [classes.sparkSession.createDataFrame([], "u bigint, v bigint")]
+    links = classes.sparkSession.createDataFrame([], "u bigint, v bigint")
     whole = 100 + least
     pivots_of_a_list, answers = 1, None
     while True:
-        chosen = lists.filter("shallow").groupBy("token", F.pmod(F.xxhash64("doc"), F.lit(pivots_of_a_list)).alias("class")).agg(
-            F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("p"))
-        chosen = stage(chosen.select("token", F.col("p.doc").alias("pivot"), F.col("p.n").alias("n_pivot")), "pivots")
-        met = stage(lists.join(chosen, "token").filter("doc <> pivot"), "met")
+        own = stage(lists.join(labels, "doc"), "postings")
+        chosen = stage(_pivots(own, pivots_of_a_list), "pivots")
+        # Sets of one label are known to be connected, deep ones do not meet: neither are compared.
+        met = stage(own.join(chosen, "token").filter("label <> label_pivot").select(
+            "token", "pivot", "n_pivot", "doc", "n", (F.col("shallow") | F.col("shallow_pivot")).alias("asked")), "met")
         if met.isEmpty():
             break
-        pairs = met.select("pivot", "doc").distinct()
+        pairs = met.filter("asked").select("pivot", "doc").distinct()
         if answers is not None:  # a pair that another list has had compared is not compared again
             pairs = pairs.join(answers, ["pivot", "doc"], "left_anti")
-        new = stage(_overlaps(pairs, sets), "overlaps")
+        new = stage(_overlaps(stage(pairs, "pairs"), sets), "overlaps")
         new = new.union(new.select(F.col("doc").alias("pivot"), F.col("pivot").alias("doc"), "shared"))
         answers = new if answers is None else answers.union(new)
-        found = answers.distinct()
-        known = met.join(found, ["pivot", "doc"]).withColumn(
-            "linked", whole * F.col("shared") >= least * (F.col("n") + F.col("n_pivot")))
-        links.append(stage(known.filter("linked").select(
+        known = met.join(answers.distinct(), ["pivot", "doc"], "left").withColumn("linked", F.coalesce(
+            whole * F.col("shared") >= least * (F.col("n") + F.col("n_pivot")), F.lit(False))).withColumn(
+            "shared", F.coalesce("shared", F.least("n", "n_pivot")))
+        links = links.union(stage(known.filter("linked").select(
             F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct(), "links"))
         # An unlinked y and a linked z of a pivot share at most shared(y) + n(z) - shared(z). Where that is too
         # little for every y, whatever z links with has the same pivot, and z leaves the list.
         most = known.filter(~F.col("linked")).groupBy("token", "pivot").agg(
             F.max(whole * F.col("shared") - least * F.col("n")).alias("most"))
-        answered = F.col("linked") & (F.col("most").isNull() | (
-            whole * F.col("shared") - 100 * F.col("n") > F.col("most")))
-        rest = known.join(most, ["token", "pivot"], "left").groupBy("token", "doc", "n", "shallow").agg(
-            F.bool_or(answered).alias("answered")).filter("NOT answered")
-        lists = stage(rest.select("token", "doc", "n", "shallow").join(
-            chosen.select("token", F.col("pivot").alias("doc")), ["token", "doc"], "left_anti"), "postings")
+        answered = known.filter("linked").join(most, ["token", "pivot"], "left").filter(
+            F.col("most").isNull() | (whole * F.col("shared") - 100 * F.col("n") > F.col("most"))).select("token", "doc")
+        gone = answered.union(chosen.select("token", F.col("pivot").alias("doc")))
+        lists = own.join(chosen.select("token").distinct(), "token", "left_semi").join(
+            gone, ["token", "doc"], "left_anti").drop("label")
+        labels = stage(_passed_on(labels, links), "labels")
         # What is left are lists of few links: more pivots settle them in fewer rounds, at a bounded cost a row.
-        pivots_of_a_list = min(4 * pivots_of_a_list, MOST_PIVOTS)
-    return reduce(DataFrame.union, links)
+        pivots_of_a_list = min(16 * pivots_of_a_list, MOST_PIVOTS)
+    return links
+
+
+def _pivots(lists: DataFrame, of_a_list: int) -> DataFrame:
+    """``token, pivot, n_pivot, shallow_pivot, label_pivot``: sets that all others of the list are compared with.
+
+    Where one label holds half of a list, whatever is outside of it takes its turn, and the pairs inside never
+    come up; elsewhere the shallow sets do. A list without such sets, or of one label, is done.
+    """
+    top = lists.groupBy("token", "label").count().groupBy("token").agg(
+        F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("size")).filter("top.count < size")
+    takes = F.when(2 * F.col("top.count") >= F.col("size"), F.col("label") != F.col("top.label")).otherwise(
+        F.col("shallow"))
+    share = F.pmod(F.xxhash64("doc"), F.lit(of_a_list)).alias("share")
+    return lists.join(top, "token").filter(takes).groupBy("token", share).agg(F.min(F.struct(
+        F.xxhash64("doc").alias("h"), "doc", "n", "shallow", "label")).alias("p")).select(
+        "token", F.col("p.doc").alias("pivot"), F.col("p.n").alias("n_pivot"),
+        F.col("p.shallow").alias("shallow_pivot"), F.col("p.label").alias("label_pivot"))
+
+
+def _passed_on(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc, label`` after every set has taken the smallest label among its own and its neighbours'."""
+    both = links.union(links.select("v", "u")).distinct()
+    heard = both.join(labels, both["v"] == labels["doc"]).select(both["u"].alias("doc"), "label")
+    return labels.union(heard).groupBy("doc").agg(F.min("label").alias("label"))
 
 
 def link_groups(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) -> DataFrame:
