@@ -133,24 +133,24 @@ def _postings(classes: DataFrame, least: int) -> DataFrame:
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pivot, doc, shared``: the exact overlap of each pair of classes."""
+    """``one, other, shared``: the exact overlap of each pair of classes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = pivot = None
+        last = held = None
         for batch in batches:
             shared = []
-            for p, x, y in zip(batch["pivot"].to_pylist(), batch["of_pivot"], batch["of_doc"], strict=True):
+            for p, x, y in zip(batch["other"].to_pylist(), batch["of_other"], batch["of_one"], strict=True):
                 if p != last:
-                    last, pivot = p, _unpack(x.as_py())
+                    last, held = p, _unpack(x.as_py())
                 own = _unpack(y.as_py())
-                at = np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)
-                shared.append(int((pivot[at] == own).sum()))
+                at = np.minimum(np.searchsorted(held, own), len(held) - 1)
+                shared.append(int((held[at] == own).sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch["pivot"], batch["doc"], pa.array(shared, pa.int64())], ["pivot", "doc", "shared"])
+                [batch["one"], batch["other"], pa.array(shared, pa.int64())], ["one", "other", "shared"])
 
-    one = sets.select(F.col("row").alias("doc"), F.col("shingles").alias("of_doc"))
-    other = sets.select(F.col("row").alias("pivot"), F.col("shingles").alias("of_pivot"))
-    met = pairs.join(one, "doc").join(other, "pivot").select("pivot", "doc", "of_pivot", "of_doc")
-    return met.mapInArrow(run, "pivot bigint, doc bigint, shared bigint").groupBy("pivot", "doc").agg(
+    one = sets.select(F.col("row").alias("one"), F.col("shingles").alias("of_one"))
+    other = sets.select(F.col("row").alias("other"), F.col("shingles").alias("of_other"))
+    met = pairs.join(one, "one").join(other, "other").select("one", "other", "of_one", "of_other")
+    return met.mapInArrow(run, "one bigint, other bigint, shared bigint").groupBy("one", "other").agg(
         F.max("shared").alias("shared"))
 
 
@@ -174,17 +174,17 @@ def class_links(classes: DataFrame, docs: DataFrame, shingle: int, least: int) -
             "token", "pivot", "n_pivot", "doc", "n", (F.col("shallow") | F.col("shallow_pivot")).alias("asked")), "met")
         if met.isEmpty():
             break
-        pairs = met.filter("asked").select("pivot", "doc").distinct()
+        pair = F.least("pivot", "doc").alias("one"), F.greatest("pivot", "doc").alias("other")
+        pairs = met.filter("asked").select(*pair).distinct()
         if answers is not None:  # a pair that another list has had compared is not compared again
-            pairs = pairs.join(answers, ["pivot", "doc"], "left_anti")
+            pairs = pairs.join(answers, ["one", "other"], "left_anti")
         new = stage(_overlaps(stage(pairs, "pairs"), sets), "overlaps")
-        new = new.union(new.select(F.col("doc").alias("pivot"), F.col("pivot").alias("doc"), "shared"))
         answers = new if answers is None else answers.union(new)
-        known = met.join(answers.distinct(), ["pivot", "doc"], "left").withColumn("linked", F.coalesce(
+        known = met.select("*", *pair).join(answers, ["one", "other"], "left").withColumn("linked", F.coalesce(
             whole * F.col("shared") >= least * (F.col("n") + F.col("n_pivot")), F.lit(False))).withColumn(
             "shared", F.coalesce("shared", F.least("n", "n_pivot")))
-        links = links.union(stage(known.filter("linked").select(
-            F.col("pivot").alias("u"), F.col("doc").alias("v")).distinct(), "links"))
+        known = stage(known.select("token", "pivot", "doc", "n", "shared", "linked"), "known")
+        links = links.union(known.filter("linked").select(F.col("pivot").alias("u"), F.col("doc").alias("v")))
         # An unlinked y and a linked z of a pivot share at most shared(y) + n(z) - shared(z). Where that is too
         # little for every y, whatever z links with has the same pivot, and z leaves the list.
         most = known.filter(~F.col("linked")).groupBy("token", "pivot").agg(
