@@ -124,6 +124,14 @@ def _split(rows: str) -> str:
                  FROM ranked JOIN sizes USING (stratum))"""
 
 
+def _decoded(x: str) -> str:
+    """The entities that the pages hold."""
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"),
+                         ("&nbsp;", "\xa0"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return x
+
+
 def _sample(rows: str, purpose: str, row_id: str, n: int) -> str:
     return f"(SELECT * FROM {rows} ORDER BY {_key(purpose, row_id)}, {row_id} LIMIT {n})"
 
@@ -172,7 +180,9 @@ def _walk(seeds: list[str], cap: int, target: int) -> str:
 def _generated() -> str:
     words = Vocabulary()
     template = _pick(words.templates, _draw("template", "o_orderkey", 1))
-    symptom = _pick(words.symptoms, _draw("template", "o_orderkey", 2))
+    draw = _draw("template", "o_orderkey", 2)
+    symptom = f"""(SELECT list(n_name ORDER BY n_name) FROM nation)[
+               1 + ({draw} * (SELECT count(*) FROM nation)) // 4294967296]"""
     duration = _pick(words.durations, _draw("template", "o_orderkey", 3))
     question = _pick(words.questions, _draw("template", "o_orderkey", 4))
     filled = f"replace(replace({template}, '{{symptom}}', {symptom}), '{{duration}}', {duration})"
@@ -205,7 +215,14 @@ def _title_lookup() -> str:
     ORDER BY place LIMIT 150"""
 
 
+TURN_ROWS = f"({TURNS})"
+BOTH = f"""SELECT text, label, source, subtopic, row_id AS ord
+        FROM ({_records(TURN_ROWS, "text", 1, "turns", "question", "row_id")}) UNION ALL
+    SELECT text, label, source, subtopic, row_id + (1::BIGINT << 55)
+        FROM ({_records("documents", "text", 0, "corpus", "passage", "doc_id")})"""
+
 HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
+HIDDEN = r"'(?s)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>'"
 PATH = "regexp_replace(url, '^[a-z]+://[^/?#]*', '')"
 
 SQL = {
@@ -272,8 +289,7 @@ SQL = {
     "csv_round_trip": f"""SELECT text, label, source, subtopic, subtopic AS split
         FROM ({DOCUMENTS})""",
     "source_union_priority": f"""WITH turns AS ({TURNS}),
-        u AS ({_records("(SELECT * FROM turns WHERE role = 'user')", "text", 1, "turns", "question",
-                        "row_id")}),
+        u AS ({_records("turns", "text", 1, "turns", "question", "row_id")}),
         d AS ({_records("documents", "text", 0, "corpus", None, "doc_id")})
         SELECT text, label, source, subtopic, row_id AS ord FROM u UNION ALL
         SELECT text, label, source, subtopic, row_id + (1::BIGINT << 55) FROM d""",
@@ -325,8 +341,46 @@ SQL = {
     "robots_filter": f"""WITH p AS (SELECT page_id, url, {HOST} AS host, {PATH} AS path FROM pages)
         SELECT page_id, url FROM p WHERE
             (host LIKE '%.com' AND path NOT LIKE '/fr/%' AND path NOT LIKE '/en/7%'
-             AND path LIKE '/en/%')
-            OR host LIKE '%.net'""",
+             AND path NOT LIKE '/de/%')
+            OR (host LIKE '%.net' AND path NOT LIKE '/es/5%'
+                AND (path NOT LIKE '/de/%' OR path LIKE '/de/1%'))""",
+    "article_text": f"""WITH plain AS (SELECT page_id, regexp_replace(html, {HIDDEN}, '<x>', 'g') AS html
+            FROM pages),
+        regions AS (SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)(?:</article>|$)', 1) AS region
+            FROM plain WHERE regexp_matches(html, '<article[^>]*>')),
+        paragraphs AS (SELECT page_id, list_transform(
+            string_split_regex(region, '<p(?:\\s[^>]*)?>')[2:],
+            lambda p: regexp_extract(p, '(?s)^(.*?)(?:</p>|$)', 1)) AS ps FROM regions),
+        nodes AS (SELECT page_id, flatten(list_transform(ps, lambda p: list_transform(
+            string_split_regex(p, '<[^>]*>'), lambda t: {_strip(_decoded("t"))}))) AS ts FROM paragraphs),
+        texts AS (SELECT page_id AS row_id, array_to_string(list_filter(ts, lambda t: t <> ''), ' ') AS text
+            FROM nodes)
+        SELECT row_id, text FROM texts WHERE length(text) > 100""",
+    "pipeline_build": f"""WITH {_cleaned(BOTH)}, {_balanced("kept")}, {_split("balanced")}
+        SELECT text, label, source, subtopic, split FROM assigned""",
+    "build_counts": f"""WITH both_sources AS ({BOTH}), {_cleaned("SELECT * FROM both_sources")},
+        {_balanced("kept")}, {_split("balanced")},
+        staged AS (SELECT 'combined' AS stage, source, label FROM both_sources
+            UNION ALL SELECT 'cleaned', source, label FROM c
+            UNION ALL SELECT 'deduplicated', source, label FROM kept
+            UNION ALL SELECT 'balanced', source, label FROM balanced
+            UNION ALL SELECT split, source, label FROM assigned)
+        SELECT stage, source, label, count(*) AS "rows" FROM staged GROUP BY stage, source, label""",
+    "reuse_status": f"""WITH stored AS (SELECT source, count(*) AS n FROM ({BOTH}) GROUP BY source),
+        told(run, source, status) AS (VALUES
+            (0, 'turns', 'built'), (0, 'corpus', 'built'), (0, 'nothing', 'empty'),
+            (1, 'turns', 'reused'), (1, 'corpus', 'reused'), (1, 'nothing', 'empty'),
+            (2, 'turns', 'built'), (2, 'corpus', 'failed'), (2, 'nothing', 'empty'), (3, 'corpus', 'built'))
+        SELECT cast(run AS BIGINT) AS run, told.source, status, coalesce(n, 0) AS "rows"
+        FROM told LEFT JOIN stored USING (source)""",
+    "rebuild_keeps_rows": _records("documents", "text", 0, "corpus", "passage", "doc_id"),
+    "only_subset": f"SELECT text, label, source, subtopic, ord FROM ({BOTH}) WHERE source = 'corpus'",
+    "csv_scan": f"""SELECT * EXCLUDE (row_id) FROM ({_records(
+            "(SELECT * FROM documents WHERE lang <> 'es' AND text <> '' ORDER BY doc_id LIMIT 150)", "text", 1,
+            "both", "clinical_note", "doc_id")}) UNION ALL
+        SELECT * EXCLUDE (row_id) FROM ({_records(
+            "(SELECT * FROM documents WHERE text <> '' ORDER BY doc_id LIMIT 150)", "text", 1, "second",
+            "clinical_note", "doc_id")})""",
     "template_fill": f"""WITH {_informal(_generated(), "attempt")} SELECT attempt, text FROM i7""",
     "template_generate": f"""WITH {_informal(_generated(), "attempt")}
         SELECT text, min(attempt) AS attempt FROM i7 GROUP BY text ORDER BY 2 LIMIT 500""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions import text as T
 from evenkeel.functions.urls import host
 from evenkeel.operators import balance, dedup, metrics, records, sampling
-from evenkeel.plans import corpus
+from evenkeel.plans import corpus, run_queries
 from evenkeel.plans.build import corpus_counts, load_splits, save_splits
 from evenkeel.plans.inputs import labelled_documents, table
 from evenkeel.plans.raw_zone import load_partial, save_partial
@@ -214,8 +214,7 @@ def csv_round_trip(spark, folder):
 
 
 def source_union_priority(spark, folder):
-    turns = _turns(spark, folder).filter(F.col("role") == "user")
-    docs = _documents(spark, folder)
+    turns, docs = _turns(spark, folder), _documents(spark, folder)
     return records.combine_sources([
         records.make_records(turns, "text", 1, "turns", "question", "row_id"),
         records.make_records(docs, "text", 0, "corpus", None, "doc_id")])
@@ -367,8 +366,9 @@ def _crawl_rules(spark: SparkSession, folder: str) -> DataFrame:
                                     F.lit(a).alias("allow")) for n, p, a in lines])
         return hosts.filter(F.endswith("host", F.lit(ending))).select("host", F.inline(listed))
 
-    return rules(".com", (0, "/fr/", False), (1, "/en/7", False), (2, "/en/", True), (3, "/", False)
-                 ).unionByName(rules(".net", (0, "/es/", True), (1, "/es/5", False), (2, "", False)))
+    return rules(".com", (0, "/fr/", False), (1, "/en/7", False), (2, "/en/", True), (3, "/en/3", False),
+                 (4, "/de/", False)).unionByName(rules(
+        ".net", (0, "/es/5", False), (1, "/es/", True), (2, "/de/1", True), (3, "/de/", False), (4, "", False)))
 
 
 def robots_filter(spark, folder):
@@ -380,12 +380,18 @@ def _order_attempts(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "orders").select(F.col("o_orderkey").alias("attempt")))
 
 
+def _table_words(spark: SparkSession, folder: str) -> templates.Vocabulary:
+    """A vocabulary whose first slot is filled from a table: the fixed list of nations."""
+    names = table(spark, folder, "nation").select("n_name").orderBy("n_name").collect()
+    return templates.Vocabulary(symptoms=[r["n_name"] for r in names])
+
+
 def template_fill(spark, folder):
-    return templates.generate(_order_attempts(spark, folder), templates.Vocabulary())
+    return templates.generate(_order_attempts(spark, folder), _table_words(spark, folder))
 
 
 def template_generate(spark, folder):
-    texts = templates.generate(_order_attempts(spark, folder), templates.Vocabulary())
+    texts = templates.generate(_order_attempts(spark, folder), _table_words(spark, folder))
     distinct = stage(records.first_seen(texts, "text", "attempt"), "generated")
     return sampling.first_rows(distinct, TEMPLATE_ROWS, "attempt")
 
@@ -408,4 +414,4 @@ QUERIES = {f.__name__: f for f in (
     source_union_priority, corpus_sample, two_table_half_quota, category_exclude, column_fallback,
     unpivot_distinct, qa_pairs, split_explode, json_decode, json_id_list, json_members,
     json_extracts, category_walk, category_walk_seeds, title_lookup, link_extract, article_text,
-    robots_filter, template_fill, template_generate, informalise)}
+    robots_filter, template_fill, template_generate, informalise)} | run_queries.QUERIES
