@@ -15,6 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evenkeel.functions.draws import order_key
+from evenkeel.operators.ranking import HASH_RANGE, first_n
+from evenkeel.plans.staging import stage
+
 TRAIN_ROWS = 1000  # labelled rows per language that a profile is learned from, those with the smallest hash
 PROFILE = 400
 TEXT_GRAMS = 300
@@ -76,9 +80,8 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, profile: int = PROFILE)
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                            & ~held_out())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
-              .filter(F.col("place") <= train_rows).select("doc_id", F.col("lang").alias("known")))
+    ids = stage(labelled.select("doc_id", "lang").distinct(), "labelled")
+    chosen = first_n(ids, train_rows, order_key("profiles", F.col("doc_id")), "doc_id", ["lang"], HASH_RANGE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
