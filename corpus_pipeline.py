@@ -23,7 +23,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group linked by five-word shingles at 0.8 or more."""
+    """One row, that with the smallest id, of every group linked by five-word shingles at 0.8 or more."""
     return ngram_join.one_of_each_group(docs, shingle=5, least=80)
 
 

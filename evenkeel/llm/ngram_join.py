@@ -245,6 +245,17 @@ def link_groups(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) ->
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = 5, least: int = 80) -> DataFrame:
-    """The documents that are the smallest of their group, in their own columns; null ids stay."""
-    dropped = link_groups(docs, shingle, least).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Exactly one row of each group of linked rows, in its own columns.
+
+    Rows are linked by their texts, whatever their ids: the one with the smallest ``doc_id`` stays, a null id
+    comes after all others, and of equal ids the first row stays. Texts without words link with nothing and stay.
+    """
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    rows = stage(docs.select(*[F.col(c).alias(n) for c, n in names.items()]).withColumn(
+        "row", F.monotonically_increasing_id()), "rows")
+    groups = link_groups(rows.select(F.col("row").alias("doc_id"), F.col(names["text"]).alias("text")), shingle, least)
+    own = F.col(names["doc_id"])
+    first = F.min(F.struct(own.isNull().alias("late"), own.alias("id"), "row")).alias("first")
+    chosen = groups.select(F.col("doc_id").alias("row"), "component_id").join(
+        rows.select("row", own), "row").groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
+    return rows.join(chosen, "row", "left_semi").select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -146,6 +146,26 @@ def test_jaccard_groups(spark, documents, odd, nothing, shingle, least):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, _, c in want if d == c)
 
 
+def test_one_row_of_each_group_whatever_its_id(spark):
+    near = [f"t{i}" for i in range(60)]
+    other = " ".join(f"u{i}" for i in range(60))
+    texts = [(1, " ".join(near)), (7, " ".join([*near[:59], "x"])), (7, "a text that no other row is like at all"),
+             (8, other), (8, other), (8, other.upper()), (None, "null id and copies of one text"),
+             (None, "null id and copies of one text"), (None, " ".join(["y", *near[1:]])), (None, "alone and without an id"),
+             (9, "the same text under two ids here"), (3, "the same text under two ids here"), (4, None), (4, ""), (None, " ")]
+    for seed in range(2):
+        random.seed(seed)
+        rows = [(d, t, i) for i, (d, t) in enumerate(random.sample(texts, len(texts)))]
+        frame = spark.createDataFrame(rows, "doc_id bigint, text string, row int").coalesce(1)
+        groups = {}
+        sets = _sets([{"doc_id": i, "text": t} for _, t, i in rows], 5)
+        for i, _, group in _groups(sets, 80):
+            groups.setdefault(group, []).append(rows[i])
+        want = [min(g, key=lambda r: (r[0] is None, r[0] or 0, r[2])) for g in groups.values()]
+        got = [tuple(r) for r in ngram_join.one_of_each_group(frame, 5, 80).collect()]
+        assert len(want) == 9 and sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(119, 200), (5, 5)]
     got = {tuple(r) for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
