@@ -55,7 +55,7 @@ def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
-    return language_model.score(_documents(spark, folder))
+    return language_model.score(_documents(spark, folder), smoothed=True)
 
 
 QUERIES = {f.__name__: f for f in (

@@ -201,6 +201,36 @@ def test_language_model(documents, odd, nothing, part, monkeypatch):
     assert {r["train_tokens"] for r in language_model.score(documents, F.lit(True)).collect()} == {0}
 
 
+def _smoothed(rows):
+    words = [(r["doc_id"], WORDS.findall((r["text"] or "").translate(LOWER)) + ["\n"]) for r in rows]
+    one, two = Counter(), Counter()
+    for d, w in words:
+        if d is None or zlib.crc32(str(d).encode()) % 7 != 2:
+            one.update(w)
+            two.update(zip(["\n", *w[:-1]], w, strict=True))
+    n1, n2 = (sum(n == k for n in two.values()) for k in (1, 2))
+    less, after, total = (n1 + 1) / (n1 + 2 * n2 + 2), Counter(c for c, _ in two), sum(one.values()) + len(one) + 1
+
+    def p(c, w):
+        alone = (one[w] + 1) / total
+        return (max(two[c, w] - less, 0) + less * after[c] * alone) / one[c] if one[c] else alone
+
+    for c in ["\n", *list(one)[:20], "no such word"]:  # the last word is any unknown one
+        assert sum(p(c, w) for w in [*one, "no such word"]) == pytest.approx(1)
+    return [(d, sum(math.log10(p(c, t)) for c, t in zip(["\n", *w[:-1]], w, strict=True))) for d, w in words]
+
+
+def test_every_pair_counts_and_the_model_sums_to_one(documents, odd, monkeypatch):
+    monkeypatch.setattr(language_model, "PART_TOKENS", 2_000)
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", 20_000)
+    monkeypatch.setattr(queries, "_documents", lambda spark, folder: documents.limit(150).select("doc_id", "text").union(
+        odd.filter("doc_id <> 5 OR doc_id IS NULL").select("doc_id", "text")).coalesce(2).cache())
+    frame = queries._documents(None, None)
+    got = sorted(((r["doc_id"], r["score"]) for r in queries.op10_language_model(None, None).collect()), key=repr)
+    for g, w in zip(got, sorted(_smoothed(frame.collect()), key=repr), strict=True):
+        assert g[0] == w[0] and g[1] == pytest.approx(w[1], rel=1e-3)
+
+
 def test_elias_fano_and_trie(tmp_path):
     rng = np.random.default_rng(2)
     for n, top in ((1, 1), (5, 3), (1000, 1 << 40), (5000, 900)):
