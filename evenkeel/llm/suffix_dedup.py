@@ -4,7 +4,8 @@ Every 100-byte window belongs to the run of windows around its anchor, the 32-by
 smallest hash; equal windows have equal anchors. Runs are counted by anchor and content. A run's repeats are
 repeated as a whole. Where one anchor has runs of different content, the first of each goes to the suffix
 sorting of its shard, where equal windows are neighbours with a common prefix of 100 bytes; the earliest of
-them stays and the others are removed. Anchors seen once cannot be part of a repeated window.
+them stays and the others are removed. Anchors seen once cannot be part of a repeated window. An anchor whose
+first runs are larger than a shard is not sorted: its windows are told apart one by one, by 128-bit digests.
 """
 
 import hashlib
@@ -119,6 +120,33 @@ def _contents(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
         run, "doc bigint, sub bigint, start int, n int, shard int, bytes binary")
 
 
+def window_digests(pieces: DataFrame) -> DataFrame:
+    """``doc, sub, start, digest`` of every window of these runs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch["n"].to_numpy()
+            of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            place = np.concatenate([np.arange(n) for n in sizes]) if len(sizes) else np.zeros(0, np.int64)
+            digests = [hashlib.blake2b(data[i:i + WINDOW], digest_size=16).digest() for data, n in zip(
+                batch["bytes"].to_pylist(), sizes.tolist(), strict=True) for i in range(n)]
+            start = batch["start"].take(of).to_numpy() + place
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc"].take(of), batch["sub"].take(of), pa.array(start, pa.int64()), pa.array(digests, pa.binary())],
+                ["doc", "sub", "start", "digest"])
+
+    return pieces.mapInArrow(run, "doc bigint, sub bigint, start bigint, digest binary")
+
+
+def later_windows(pieces: DataFrame) -> DataFrame:
+    """Spans of the windows of these runs that an earlier one of them equals; no task holds all of an anchor."""
+    windows = stage(window_digests(pieces), "windows")
+    place = F.struct("doc", "sub", "start")
+    firsts = windows.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).filter(
+        "c > 1").select("digest", "first")
+    return windows.join(firsts, "digest").filter(place > F.col("first")).select(
+        *KEYS, "start", (F.col("start") + WINDOW).alias("end"))
+
+
 def sort_shard(pieces: pd.DataFrame) -> pd.DataFrame:
     """Spans ``doc, sub, start, end`` of the windows of these runs that an earlier one of them equals."""
     pieces = pieces.drop_duplicates([*KEYS, "start"]).sort_values([*KEYS, "start"])
@@ -165,13 +193,16 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
             "bigint").alias("end"))
     several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("n") + WINDOW).alias("size")
                                            ).filter("c > 1")
-    size = several.agg(F.sum("size").alias("s")).first()["s"] or 0
+    several = several.withColumn("hot", F.col("size") > SHARD_BYTES)
+    size, hot = several.agg(F.sum(F.when(~F.col("hot"), F.col("size"))), F.max("hot")).first()
+    size = size or 0
     shards = -(-size // SHARD_BYTES) or 1
-    wanted = firsts.join(several.select("anchor"), "anchor").select(
-        "first.*", "n", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"))
-    sorted_ = _contents(keyed, wanted).groupBy("shard").applyInPandas(
+    wanted = firsts.join(several.select("anchor", "hot"), "anchor").select(
+        "first.*", "n", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "hot")
+    sorted_ = _contents(keyed, wanted.filter(~F.col("hot"))).groupBy("shard").applyInPandas(
         sort_shard, "doc bigint, sub bigint, start bigint, end bigint")
-    return again.union(stage(sorted_, "sorted"))
+    spans = again.union(stage(sorted_, "sorted"))
+    return spans.union(stage(later_windows(_contents(keyed, wanted.filter("hot"))), "later")) if hot else spans
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:

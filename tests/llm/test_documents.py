@@ -278,6 +278,27 @@ def test_repeated_strings(spark, documents, odd, nothing, monkeypatch):
     assert suffix_dedup.without_repeats(odd).columns == odd.columns
 
 
+def test_a_hot_anchor_is_not_one_shard(spark, tmp_path, monkeypatch):
+    random.seed(8)
+    phrase = "the same phrase of some sixty bytes in each and every document "
+    texts = ["".join(random.choices("abcdefgh", k=90)) + phrase * random.randint(1, 2) + random.choice(["x" * 50, "y" * 80])
+             + "".join(random.choices("abcdefgh", k=90)) for _ in range(150)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    sizes, sort = str(tmp_path / "sizes"), suffix_dedup.sort_shard
+
+    def sort_shard(pieces):
+        with open(sizes, "a") as out:
+            out.write(f"{pieces['bytes'].map(len).sum()}\n")
+        return sort(pieces)
+
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 4_000)
+    monkeypatch.setattr(suffix_dedup, "sort_shard", sort_shard)
+    want = list(_removed((i, t.encode()) for i, t in enumerate(texts)))
+    assert sum(w[2] > 0 for w in want) > 100
+    assert sorted(map(tuple, suffix_dedup.remove_repeats(frame).collect())) == want
+    assert max([0, *map(int, open(sizes))] if (tmp_path / "sizes").exists() else [0]) < 16_000
+
+
 def test_pipeline(spark, documents):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "language_id", "ngram_jaccard_join", "suffix_array_dedup", "best_fit_packing"]
