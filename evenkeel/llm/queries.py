@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import bpe, language_id, language_model, ngram_join, packing, quality_rules, suffix_dedup, token_counts, topk_blocks, varbyte
+from evenkeel.llm import (
+    bpe, conversation_repair, language_id, language_model, ngram_join, packing, prefix_trie, quality_rules, simhash_join,
+    suffix_dedup, token_counts, topk_blocks, varbyte)
 from evenkeel.plans.staging import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -58,10 +60,26 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(_documents(spark, folder), smoothed=True)
 
 
+def _conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/conversations.parquet")
+
+
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.rebuilt_nodes(_conversations(spark, folder))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_join.near_groups(_documents(spark, folder))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair(_conversations(spark, folder))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_token_counts, op3_language_id, op4_suffix_array_dedup, op5_quality_rules, op6_exact_top_k,
-    op7_bpe_round_trip, op8_token_id_files, op9_ngram_jaccard,
-    op10_language_model)}
+    op7_bpe_round_trip, op8_token_id_files, op9_ngram_jaccard, op10_language_model, op11_conversation_trie,
+    op12_simhash_near_dedup, op13_conversation_repair)}
 
 SQL = {
     "op6_exact_top_k": """
