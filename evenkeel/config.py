@@ -62,6 +62,7 @@ NON_MEDICAL_SEEDS = [
     "Category:World economies",
 ]
 MEMBERS_PER_CATEGORY = 200
+WALK_DEPTH = 1
 
 # Forum categories left out.
 EXCLUDED_CATEGORIES = ["sci.med"]

@@ -28,6 +28,11 @@ def order_key(purpose: str, row_id: Column, seed: int = SEED) -> Column:
     return _hex_to_long(F.substring(_digest(purpose, row_id, seed), 1, ORDER_KEY_DIGITS))
 
 
+def name_key(name: Column, seed: int = SEED) -> Column:
+    """60-bit key that puts names in seeded random order."""
+    return _hex_to_long(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, ORDER_KEY_DIGITS))
+
+
 def draw(purpose: str, row_id: Column, number: int = 0, seed: int = SEED) -> Column:
     """Uniform integer in [0, 2**32). Four numbered draws share one digest."""
     digest = _digest(f"{purpose}{number // 4}", row_id, seed)

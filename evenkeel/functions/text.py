@@ -137,6 +137,14 @@ def clean_and_filter(df: DataFrame, text: str = "text", min_chars: int = MIN_CHA
     return gated.withColumn(text, truncate_sentence(F.col(text), max_chars)).select(*order)
 
 
+def clean_and_mark(df: DataFrame, text: str = "text", min_chars: int = MIN_CHARS,
+                   max_chars: int = MAX_CHARS) -> DataFrame:
+    """As ``clean_and_filter``, but a text that the gate rejects stays as a null."""
+    cleaned = fence(df, **{text: clean_text(F.col(text))})
+    kept = F.when(length_ok(F.col(text), min_chars, max_chars), truncate_sentence(F.col(text), max_chars))
+    return fence(cleaned, **{text: kept}).select(*df.columns)
+
+
 def with_dedup_keys(df: DataFrame, text: str = "text", cleaned: bool = False,
                     prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """Add ``exact_key`` and ``prefix_key`` (md5 hex)."""

@@ -19,6 +19,15 @@ def host(url: Column) -> Column:
     return F.lower(_part(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"))
 
 
+def canonical(url: Column) -> Column:
+    """One form for the ways to write a URL: scheme and host in lower case, no default port, no fragment, a path."""
+    scheme, rest = F.lower(_part(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://")), _part(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)")
+    port = F.when(scheme == "http", ":80").when(scheme == "https", ":443").otherwise(":")
+    place = F.when(F.endswith(host(url), port), F.left(host(url), F.length(host(url)) - F.length(port))).otherwise(host(url))
+    path = F.when(F.left(rest, F.lit(1)) == "/", rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(scheme != "", F.concat(scheme, F.lit("://"), place, path)).otherwise(F.regexp_replace(url, "#.*$", ""))
+
+
 def percent_decoded(text: Column) -> Column:
     """Resolve percent escapes; a text with a broken escape stays as it is."""
     return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)

@@ -3,24 +3,21 @@
 Both work on narrow rows (``ord``, ``label``, ``source``); texts are joined at the very end.
 """
 
-import hashlib
-from collections import Counter
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.config import RARE_STRATUM_ROWS, SEED, TRAIN_FRACTION, VAL_FRACTION
-from evenkeel.functions.draws import order_key
-from evenkeel.operators.ranking import Cuts, before_cut, locate_cuts, with_segment
+from evenkeel.functions.draws import name_key, order_key
+from evenkeel.operators.ranking import HASH_RANGE, Cuts, before_cut, locate_cuts, with_segment
 from evenkeel.plans.staging import Pinned, local_table, look_up, pin
 
 SPLITS = ["train", "val", "test"]
-TARGET_SCHEMA = T.StructType([
-    T.StructField("stratum", T.StringType()), T.StructField("rows", T.LongType()),
-    T.StructField("cut", T.IntegerType()), T.StructField("target", T.LongType())])
+SEAT_SCHEMA = T.StructType([T.StructField("_all", T.IntegerType()), T.StructField("cut", T.IntegerType()),
+                            T.StructField("target", T.LongType())])
 WIDE = "decimal(19,0)"  # the product of two row counts does not fit a BIGINT
 
 
@@ -45,6 +42,15 @@ def balance_cuts(rows: DataFrame, order: str = "ord", seed: int = SEED,
     return locate_cuts(keyed, ["label"], "_key", order, targets, 1, majority)
 
 
+def in_balance(rows: DataFrame, cuts: Cuts | None, name: str = "balanced", order: str = "ord",
+               seed: int = SEED) -> DataFrame:
+    """Every row with a mark: does it lie before the cut of its class?"""
+    if cuts is None:
+        return rows.withColumn(name, F.lit(True))
+    keyed = rows.withColumn("_key", order_key("balance", F.col(order), seed))
+    return with_segment(keyed, "_key", order, cuts, "_passed").select(*rows.columns, (F.col("_passed") == 0).alias(name))
+
+
 def within_balance(rows: DataFrame, cuts: Cuts | None, order: str = "ord",
                    seed: int = SEED) -> DataFrame:
     """The rows that the class cuts keep: a map-side filter on label and ``order``."""
@@ -74,21 +80,31 @@ def with_strata(rows: DataFrame) -> DataFrame:
     return look_up(rows, table, ["label", "source"])
 
 
-def _seats(size: Column, drawn: Column, total: Column, tie: Column) -> Column:
-    """Largest-remainder share of ``drawn`` seats for a stratum of ``size`` out of ``total``."""
-    whole = Window.partitionBy(F.lit(0))
-    share = size.cast(WIDE) * drawn.cast(WIDE)
-    floor = F.when(total > 0, _div(share, total)).otherwise(F.lit(0))
-    rest = F.when(total > 0, share % total.cast(WIDE)).otherwise(F.lit(0))
-    place = F.row_number().over(whole.orderBy(rest.desc(), tie))
-    return floor + F.when(place <= drawn - F.sum(floor).over(whole), 1).otherwise(0)
-
-
 def _div(a: Column, b: Column) -> Column:
     """Integer quotient of non-negative values."""
     return ((a - a % b.cast(WIDE)) / b.cast(WIDE)).cast("bigint")
 
 
+def with_seats(strata: DataFrame, size: str, drawn: int, seats: str, seed: int = SEED) -> DataFrame:
+    """Add ``seats``: the largest-remainder share of ``drawn`` in proportion to ``size``.
+
+    Every stratum gets the whole part of its share. The seats that are left go to the largest remainders, and the last of
+    these is found as any cut is: by counts of remainder ranges, ties by a hash of the name. So strata
+    are never sorted in one task, however many there are.
+    """
+    share = F.col(size).cast(WIDE) * F.lit(drawn).cast(WIDE)
+    total, many = strata.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
+    if not total:
+        return strata.withColumn(seats, F.lit(0).cast("bigint"))
+    shared = strata.withColumns({"_whole": _div(share, F.lit(total)), "_behind": -(share % F.lit(total).cast(WIDE)).cast("bigint"),
+                                 "_all": F.lit(0), "_tie": name_key(F.col("stratum"), seed)})
+    left = drawn - (shared.agg(F.sum("_whole")).first()[0] or 0)
+    target = local_table(strata.sparkSession, [(0, 0, left)], SEAT_SCHEMA)
+    cuts = locate_cuts(shared, ["_all"], "_behind", "_tie", Pinned(target, True), 1, many, (-total, 0), HASH_RANGE)
+    placed = with_segment(shared, "_behind", "_tie", cuts, "_later")
+    return placed.select(*strata.columns, (F.col("_whole") + F.when(F.col("_later") == 0, 1).otherwise(0)).alias(seats))
+
+
 def split_targets(strata: DataFrame, train: str = TRAIN_FRACTION, val: str = VAL_FRACTION,
                   seed: int = SEED) -> DataFrame:
     """Train and validation sizes per stratum by largest remainder.
@@ -97,51 +113,13 @@ def split_targets(strata: DataFrame, train: str = TRAIN_FRACTION, val: str = VAL
     the rest, floor(val / (1 - train)) of it are validation. Remainder ties go by a hash of the
     stratum name - by name they would favour one label.
     """
-    train_part = Fraction(train)
-    val_part = Fraction(val) / (1 - train_part)
-    whole = Window.partitionBy(F.lit(0))
-
-    def part(amount: Column, fraction: Fraction) -> Column:
-        return _div(amount.cast(WIDE) * fraction.numerator, F.lit(fraction.denominator))
-
-    tie = F.md5(F.concat(F.lit(f"{seed}:"), F.col("stratum")))
-    sized = (strata.withColumn("_tie", tie)
-             .withColumn("_n", F.sum("rows").over(whole))
-             .withColumn("_train", part(F.col("_n"), train_part))
-             .withColumn("train", _seats(F.col("rows"), F.col("_train"), F.col("_n"), F.col("_tie")))
-             .withColumn("_left", F.col("rows") - F.col("train"))
-             .withColumn("_rest", F.col("_n") - F.col("_train"))
-             .withColumn("_val", part(F.col("_rest"), val_part))
-             .withColumn("val", _seats(F.col("_left"), F.col("_val"), F.col("_rest"), F.col("_tie"))))
-    return sized.select("stratum", "rows", "train", "val",
-                        (F.col("rows") - F.col("train") - F.col("val")).alias("test"))
-
-
-def share_out(sizes: dict[str, int], drawn: int, seed: int = SEED) -> dict[str, int]:
-    """``drawn`` seats over strata by largest remainder, for sizes the driver knows."""
-    total = sum(sizes.values()) or 1
-    seats = {name: size * drawn // total for name, size in sizes.items()}
-    by_rest = sorted(sizes, key=lambda name: (
-        -(sizes[name] * drawn % total), hashlib.md5(f"{seed}:{name}".encode()).hexdigest()))
-    for name in by_rest[:drawn - sum(seats.values())]:
-        seats[name] += 1
-    return seats
-
-
-def _known_targets(spark: SparkSession, counted: list, train: str, val: str, seed: int) -> Pinned:
-    """``split_targets`` as cuts for a strata table small enough to have been pinned."""
-    sizes: Counter[str] = Counter()
-    for row in counted:
-        sizes[row["stratum"]] += row["rows"]
-    total, train_part = sum(sizes.values()), Fraction(train)
-    train_rows = int(total * train_part)
-    in_train = share_out(sizes, train_rows, seed)
-    left = {name: size - in_train[name] for name, size in sizes.items()}
-    in_val = share_out(left, int((total - train_rows) * (Fraction(val) / (1 - train_part))), seed)
-    rows = [(name, sizes[name], cut, target) for name in sizes
-            for cut, target in enumerate((in_train[name], in_train[name] + in_val[name]))]
-    named = Row("stratum", "rows", "cut", "target")
-    return Pinned(local_table(spark, rows, TARGET_SCHEMA), True, [named(*r) for r in rows])
+    total = strata.agg(F.sum("rows")).first()[0] or 0
+    train_rows = int(total * Fraction(train))
+    val_rows = int((total - train_rows) * (Fraction(val) / (1 - Fraction(train))))
+    trained = with_seats(strata.select("stratum", "rows"), "rows", train_rows, "train", seed)
+    rest = trained.withColumn("_left", F.col("rows") - F.col("train"))
+    return with_seats(rest, "_left", val_rows, "val", seed).select(
+        "stratum", "rows", "train", "val", (F.col("_left") - F.col("val")).alias("test"))
 
 
 @dataclass
@@ -157,15 +135,12 @@ def split_plan(rows: DataFrame, order: str = "ord", train: str = TRAIN_FRACTION,
     """Count the strata, share out the split sizes and find the rows at which the splits end."""
     counted = pin(strata_counts(rows), "strata")
     names = Pinned(counted.df.select("label", "source", "stratum"), counted.small)
-    if counted.small:
-        targets = _known_targets(rows.sparkSession, counted.rows, train, val, seed)
-    else:
-        strata = counted.df.groupBy("stratum").agg(F.sum("rows").alias("rows"))
-        sizes = split_targets(strata, train, val, seed)
-        targets = pin(sizes.select("stratum", "rows", F.inline(F.array(
-            F.struct(F.lit(0).alias("cut"), F.col("train").alias("target")),
-            F.struct(F.lit(1).alias("cut"), (F.col("train") + F.col("val")).alias("target"))))),
-            "split-targets")
+    strata = pin(counted.df.groupBy("stratum").agg(F.sum("rows").alias("rows")), "stratum-sizes")
+    sizes = split_targets(strata.df, train, val, seed)
+    targets = pin(sizes.select("stratum", "rows", F.inline(F.array(
+        F.struct(F.lit(0).alias("cut"), F.col("train").alias("target")),
+        F.struct(F.lit(1).alias("cut"), (F.col("train") + F.col("val")).alias("target"))))),
+        "split-targets")
     largest = targets.extent("rows")[1] or 0
     keyed = _split_keyed(rows, names, order, seed)
     cuts = locate_cuts(keyed, ["stratum"], "_key", order,
@@ -173,14 +148,15 @@ def split_plan(rows: DataFrame, order: str = "ord", train: str = TRAIN_FRACTION,
     return SplitPlan(names, cuts)
 
 
-def _split_keyed(rows: DataFrame, names: Pinned, order: str, seed: int) -> DataFrame:
-    return look_up(rows, names, ["label", "source"]).withColumn(
+def _split_keyed(rows: DataFrame, names: Pinned, order: str, seed: int, how: str = "inner") -> DataFrame:
+    return look_up(rows, names, ["label", "source"], how).withColumn(
         "_key", order_key("split", F.col(order), seed))
 
 
-def with_split(rows: DataFrame, plan: SplitPlan, order: str = "ord", seed: int = SEED) -> DataFrame:
-    """Add ``split``: train, val or test. Map-side."""
-    placed = with_segment(_split_keyed(rows, plan.strata, order, seed), "_key", order, plan.cuts)
+def with_split(rows: DataFrame, plan: SplitPlan, order: str = "ord", seed: int = SEED,
+               how: str = "inner") -> DataFrame:
+    """Add ``split``: train, val or test. Map-side. Rows of strata that the plan does not know go, unless ``how`` is left."""
+    placed = with_segment(_split_keyed(rows, plan.strata, order, seed, how), "_key", order, plan.cuts)
     split = F.get(F.array(*[F.lit(s) for s in SPLITS]), F.col("segment"))
     return placed.select(*rows.columns, split.alias("split"))
 

@@ -8,14 +8,3 @@ def source_breakdown(df: DataFrame) -> DataFrame:
     """Rows per source, largest first."""
     return (df.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
             .orderBy(F.desc("rows"), "source"))
-
-
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Rows per stage, source and label. Each stage is counted map-side; no rows move."""
-    parts = [df.groupBy("source", "label").agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(name).alias("stage"), "source", "label", "rows")
-             for name, df in stages.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out

@@ -61,10 +61,13 @@ def locate_cuts(rows: DataFrame, groups: list[str], key: str, tie: str, targets:
             found = _narrow(slim, groups, found, rank_at_most, buckets)
 
     w = Window.partitionBy(*groups, "cut").orderBy("_key", "_tie")
+    # Rows that agree in key and tie on both sides of a cut would all be before it.
+    repeated = F.lead(F.struct("_key", "_tie")).over(w) == F.struct("_key", "_tie")
+    strict = F.when(F.col("_repeated"), F.raise_error(F.lit(f"repeated {tie} at a cut: rows need ids of their own to be ordered")))
     at_cut = (_inside(slim, groups, found)
-              .withColumn("_rank", F.col("before") + F.row_number().over(w))
+              .withColumns({"_rank": F.col("before") + F.row_number().over(w), "_repeated": F.coalesce(repeated, F.lit(False))})
               .filter(F.col("_rank") == F.col("target"))
-              .select(*groups, "cut", F.col("_key").alias("key"), F.col("_tie").alias("tie")))
+              .select(*groups, "cut", F.col("_key").alias("key"), F.coalesce(strict.cast("bigint"), "_tie").alias("tie")))
     # No row precedes an empty cut: a key below the range puts all rows behind it.
     empty = (targets.df.filter(F.col("target") <= 0)
              .select(*groups, "cut", F.lit(key_range[0] - 1).cast("bigint").alias("key"),

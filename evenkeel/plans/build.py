@@ -3,16 +3,16 @@
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.config import SEED
 from evenkeel.operators.dedup import dedup_counters
-from evenkeel.operators.metrics import source_breakdown, stage_counts
-from evenkeel.plans.corpus import Corpus, build
-from evenkeel.plans.raw_zone import SourceStatus, combine, run_sources
+from evenkeel.operators.metrics import source_breakdown
+from evenkeel.plans.corpus import build
+from evenkeel.plans.raw_zone import SourceStatus, combine, run_sources, source_path
 from evenkeel.plans.registry import Source
-from evenkeel.plans.staging import replaced, staging_area, stored_bytes
+from evenkeel.plans.staging import staging_area
+from evenkeel.plans.versions import current, current_bytes, new_version
 from evenkeel.schema import RECORD_COLUMNS, RECORD_SCHEMA
 from evenkeel.session import sized_shuffles
 from evenkeel.sources.tables import read_csv
@@ -34,11 +34,11 @@ class BuildReport:
 
 
 def save_splits(corpus_rows: DataFrame, folder: str) -> None:
-    """One write, one sub-folder of CSV files with header per split.
+    """One write of a new version of ``folder``, one sub-folder of CSV files with header per split.
 
     Quotes are doubled, as other CSV readers expect; leading and trailing spaces are kept.
     """
-    with replaced(corpus_rows.sparkSession, folder) as new:
+    with new_version(corpus_rows.sparkSession, folder) as new:
         (corpus_rows.select(*RECORD_COLUMNS, "split").write.partitionBy("split")
          .option("header", True).option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -46,18 +46,17 @@ def save_splits(corpus_rows: DataFrame, folder: str) -> None:
 
 
 def load_splits(spark: SparkSession, folder: str) -> DataFrame:
-    """The saved corpus, with ``split``."""
+    """The saved corpus, with ``split``; ``splits_path`` has the files."""
     schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("split", T.StringType())])
-    return read_csv(spark, folder, schema)
+    return read_csv(spark, splits_path(spark, folder), schema)
 
 
-def corpus_counts(records: DataFrame, corpus: Corpus) -> DataFrame:
-    """Rows per stage, source and label, from raw to each split."""
-    counts = stage_counts({"combined": records, "cleaned": corpus.cleaned, "deduplicated": corpus.kept,
-                           "balanced": corpus.balanced()})
-    split = (corpus.assigned().groupBy("split", "source", "label").agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.col("split").alias("stage"), "source", "label", "rows"))
-    return counts.unionByName(split)
+def splits_path(spark: SparkSession, folder: str) -> str:
+    """Where the newest complete splits lie: one folder of CSV files each."""
+    path = current(spark, folder)
+    if path is None:
+        raise FileNotFoundError(f"no splits have been saved in {folder}")
+    return path
 
 
 def build_corpus(spark: SparkSession, sources: list[Source], raw_root: str, out_folder: str,
@@ -71,10 +70,11 @@ def build_corpus(spark: SparkSession, sources: list[Source], raw_root: str, out_
     with staging_area(spark):
         statuses = [] if skip_collect else run_sources(spark, sources, raw_root, force, only)
         records = combine(spark, sources, raw_root)
-        with sized_shuffles(spark, stored_bytes(spark, raw_root)):
+        with sized_shuffles(spark, current_bytes(
+                spark, [source_path(raw_root, s.name) for s in sources])):
             corpus = build(records, seed)
             save_splits(corpus.rows(), out_folder)
-            counts = corpus_counts(records, corpus).collect()  # sources x labels x stages
+            counts = corpus.counts().collect()  # sources x labels x stages
             present = {r["source"] for r in counts if r["stage"] == "combined"}
             return BuildReport(
                 statuses, [s.name for s in sources if s.name not in present], counts,

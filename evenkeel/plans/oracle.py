@@ -177,6 +177,38 @@ def _walk(seeds: list[str], cap: int, target: int) -> str:
                GROUP BY title ORDER BY place LIMIT {target})"""
 
 
+def _deep_walk(seeds: list[str], cap: int, target: int, depth: int) -> str:
+    """As ``_walk`` on the tangled graph: a level has the categories that no level before it had."""
+    names = ", ".join(f"('{s}', {i})" for i, s in enumerate(seeds))
+    steps = [f"""
+    segments AS (SELECT *, concat(n_name, '/', c_mktsegment) AS segment
+                 FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    edges AS (SELECT r_name AS category, n_name AS title, 14 AS ns, n_nationkey AS pos
+              FROM nation JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT a.n_name, b.n_name, 14, -2 FROM nation a JOIN nation b
+                  ON (a.n_nationkey * 7 + 3) % 25 = b.n_nationkey
+        UNION ALL SELECT DISTINCT n_name, segment, 14, -1 FROM segments
+        UNION ALL SELECT n_name, c_name, 0, c_custkey FROM segments WHERE c_custkey % 3 = 0
+        UNION ALL SELECT n_name, c_name, 0, c_custkey + 500000 FROM customer JOIN nation
+                  ON (c_nationkey + 1) % 25 = n_nationkey WHERE c_custkey % 5 = 0
+        UNION ALL SELECT segment, c_name, 0, c_custkey FROM segments),
+    capped AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY pos, title) AS nth
+               FROM edges QUALIFY nth <= {cap}),
+    f0(category, place) AS (VALUES {names})"""]
+    base, seen = "0", []
+    for level in range(depth + 1):
+        steps.append(f"""m{level} AS (SELECT c.title, c.ns, {base} + f.place * {cap} + nth - 1 AS place
+              FROM capped c JOIN f{level} f USING (category))""")
+        base += f" + {len(seeds) * cap ** (level + 1)}" if level < 2 else f" + {cap} * (SELECT count(*) FROM f{level})"
+        seen.append(f"SELECT category FROM f{level}")
+        place = "min(place)" if level == 0 else "row_number() OVER (ORDER BY min(place), title) - 1"
+        steps.append(f"""f{level + 1} AS (SELECT title AS category, {place} AS place FROM m{level}
+              WHERE ns = 14 AND title NOT IN ({' UNION ALL '.join(seen)}) GROUP BY title)""")
+    every = " UNION ALL ".join(f"SELECT * FROM m{level}" for level in range(depth + 1))
+    return ", ".join(steps) + f""" SELECT title, cast(min(place) AS BIGINT) AS place FROM ({every})
+        WHERE ns = 0 GROUP BY title ORDER BY place LIMIT {target}"""
+
+
 def _generated() -> str:
     words = Vocabulary()
     template = _pick(words.templates, _draw("template", "o_orderkey", 1))
@@ -225,6 +257,22 @@ HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
 HIDDEN = r"'(?s)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>'"
 PATH = "regexp_replace(url, '^[a-z]+://[^/?#]*', '')"
 
+PERMITTED = """((host LIKE '%.com' AND path NOT LIKE '/fr/%' AND path NOT LIKE '/en/7%'
+             AND path NOT LIKE '/de/%')
+            OR (host LIKE '%.net' AND path NOT LIKE '/es/5%'
+                AND (path NOT LIKE '/de/%' OR path LIKE '/de/1%')))"""
+ARTICLES = f"""plain AS (SELECT page_id, regexp_replace(html, {HIDDEN}, '<x>', 'g') AS html
+            FROM pages),
+        regions AS (SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)(?:</article>|$)', 1) AS region
+            FROM plain WHERE regexp_matches(html, '<article[^>]*>')),
+        paragraphs AS (SELECT page_id, list_transform(
+            string_split_regex(region, '<p(?:\\s[^>]*)?>')[2:],
+            lambda p: regexp_extract(p, '(?s)^(.*?)(?:</p>|$)', 1)) AS ps FROM regions),
+        nodes AS (SELECT page_id, flatten(list_transform(ps, lambda p: list_transform(
+            string_split_regex(p, '<[^>]*>'), lambda t: {_strip(_decoded("t"))}))) AS ts FROM paragraphs),
+        texts AS (SELECT page_id AS row_id, array_to_string(list_filter(ts, lambda t: t <> ''), ' ') AS text
+            FROM nodes)"""
+
 SQL = {
     "flagship_split": f"""WITH {_cleaned(LABELLED)}, {_balanced("kept")}, {_split("balanced")}
         SELECT ord, text, label, source, split FROM assigned""",
@@ -317,6 +365,12 @@ SQL = {
         s AS (SELECT row_id, {_strip("question_1")} AS q, {_strip("question_2")} AS a FROM x)
         SELECT cast(row_id AS VARCHAR) AS path, 0 AS pos,
                CASE WHEN q <> '' THEN concat(q, ' ', a) ELSE a END AS text FROM s WHERE a <> ''""",
+    "xml_scan": f"""WITH turns AS ({TURNS}), x AS ({EXCHANGES}),
+        s AS (SELECT row_id, row_id // 100000 % 3 AS folder, {_strip("question_1")} AS q, {_strip("question_2")} AS a
+              FROM x),
+        pairs AS (SELECT row_id, CASE WHEN q <> '' THEN concat(q, ' ', a) ELSE a END AS text FROM s
+                  WHERE a <> '' AND folder < 2 ORDER BY folder, row_id LIMIT 160)
+        SELECT * EXCLUDE (row_id) FROM ({_records("pairs", "text", 1, "files", "pair", "row_id")})""",
     "split_explode": f"""WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
         e AS (SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS pos FROM p),
         s AS (SELECT doc_id, pos, {_strip("raw")} AS text FROM e)
@@ -333,31 +387,25 @@ SQL = {
     "category_walk": f"WITH {_walk(['ASIA', 'EUROPE'], 40, 350)} SELECT title, place FROM titles",
     "category_walk_seeds": f"""WITH {_walk(['AMERICA', 'AFRICA'], 40, 350)}
         SELECT title, place FROM titles""",
+    "category_walk_deep": f"WITH {_deep_walk(['ASIA', 'PERU'], 40, 900, 3)}",
     "title_lookup": _title_lookup(),
     "link_extract": r"""WITH h AS (SELECT url,
             unnest(regexp_extract_all(html, '<a[^>]*\shref="([^"]*)"', 1)) AS href FROM pages)
         SELECT DISTINCT concat(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1),
             replace(href, '&amp;', '&')) AS link FROM h WHERE contains(href, '/th')""",
     "robots_filter": f"""WITH p AS (SELECT page_id, url, {HOST} AS host, {PATH} AS path FROM pages)
-        SELECT page_id, url FROM p WHERE
-            (host LIKE '%.com' AND path NOT LIKE '/fr/%' AND path NOT LIKE '/en/7%'
-             AND path NOT LIKE '/de/%')
-            OR (host LIKE '%.net' AND path NOT LIKE '/es/5%'
-                AND (path NOT LIKE '/de/%' OR path LIKE '/de/1%'))""",
-    "article_text": f"""WITH plain AS (SELECT page_id, regexp_replace(html, {HIDDEN}, '<x>', 'g') AS html
-            FROM pages),
-        regions AS (SELECT page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)(?:</article>|$)', 1) AS region
-            FROM plain WHERE regexp_matches(html, '<article[^>]*>')),
-        paragraphs AS (SELECT page_id, list_transform(
-            string_split_regex(region, '<p(?:\\s[^>]*)?>')[2:],
-            lambda p: regexp_extract(p, '(?s)^(.*?)(?:</p>|$)', 1)) AS ps FROM regions),
-        nodes AS (SELECT page_id, flatten(list_transform(ps, lambda p: list_transform(
-            string_split_regex(p, '<[^>]*>'), lambda t: {_strip(_decoded("t"))}))) AS ts FROM paragraphs),
-        texts AS (SELECT page_id AS row_id, array_to_string(list_filter(ts, lambda t: t <> ''), ' ') AS text
-            FROM nodes)
-        SELECT row_id, text FROM texts WHERE length(text) > 100""",
+        SELECT page_id, url FROM p WHERE {PERMITTED}""",
+    "article_text": f"WITH {ARTICLES} SELECT row_id, text FROM texts WHERE length(text) > 100",
+    "crawl_source": f"""WITH {ARTICLES},
+        p AS (SELECT page_id, url, {HOST} AS host, {PATH} AS path FROM pages),
+        articles AS (SELECT row_id, text FROM texts JOIN p ON row_id = page_id
+            WHERE length(text) > 100 AND page_id % 3 <> 0 AND contains(url, '/en/') AND {PERMITTED}
+            ORDER BY row_id LIMIT 30)
+        {_records("articles", "text", 0, "crawl", "article", "row_id")}""",
     "pipeline_build": f"""WITH {_cleaned(BOTH)}, {_balanced("kept")}, {_split("balanced")}
         SELECT text, label, source, subtopic, split FROM assigned""",
+    "skip_collect": f"""WITH {_cleaned(BOTH)}, {_balanced("kept")}, {_split("balanced")}
+        SELECT text, label, source, subtopic, split FROM assigned""",
     "build_counts": f"""WITH both_sources AS ({BOTH}), {_cleaned("SELECT * FROM both_sources")},
         {_balanced("kept")}, {_split("balanced")},
         staged AS (SELECT 'combined' AS stage, source, label FROM both_sources

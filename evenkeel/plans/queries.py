@@ -12,10 +12,10 @@ from evenkeel.functions import text as T
 from evenkeel.functions.urls import host
 from evenkeel.operators import balance, dedup, metrics, records, sampling
 from evenkeel.plans import corpus, run_queries
-from evenkeel.plans.build import corpus_counts, load_splits, save_splits
+from evenkeel.plans.build import load_splits, save_splits
 from evenkeel.plans.inputs import labelled_documents, table
 from evenkeel.plans.raw_zone import load_partial, save_partial
-from evenkeel.plans.staging import scratch_path, stage
+from evenkeel.plans.staging import copy_beginning, scratch_path, stage
 from evenkeel.session import spread
 from evenkeel.sources import categories, qa_xml, responses, tables, templates, webpages
 
@@ -23,6 +23,8 @@ NEWLINE = "\n"
 SAMPLE_ROWS = 250
 TOPIC_QUOTA, TOPICS = 200, 8
 TEMPLATE_ROWS = 500
+XML_PAIRS = 160
+CRAWLED = 30
 
 
 def _documents(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
@@ -196,8 +198,7 @@ def source_breakdown(spark, folder):
 
 
 def stage_metrics(spark, folder):
-    labelled = labelled_documents(spark, folder)
-    return corpus_counts(labelled, corpus.build(labelled))
+    return corpus.build(labelled_documents(spark, folder)).counts()
 
 
 def partial_round_trip(spark, folder):
@@ -281,6 +282,28 @@ def qa_pairs(spark, folder):
     return qa_xml.extract_pairs(files)
 
 
+def xml_scan(spark, folder):
+    """The first pairs of XML files, several a file, in two folders of which one is nested; a third is damaged.
+
+    The damaged files end in the middle of a pair or begin with a broken declaration, and count for nothing.
+    """
+    root = scratch_path(spark, "xml")
+    conversation = F.floor(F.col("row_id") / 100000)
+    asked = stage(_exchanges(spark, folder), "exchanges")
+
+    def write(rows: DataFrame, name: str, **options: str) -> None:
+        (rows.repartitionByRange(3, "row_id").sortWithinPartitions("row_id")
+         .select(F.col("question_1").alias("Question"), F.col("question_2").alias("Answer"))
+         .write.format("xml").options(rowTag="QAPair", rootTag="QAPairs", **options).save(f"{root}/{name}"))
+
+    write(asked.filter(conversation % 3 == 0), "a")
+    write(asked.filter(conversation % 3 == 1), "b/deeper")
+    write(asked.filter(conversation % 3 == 2), "a/broken", declaration='version="1.0" <')
+    first = spark.read.format("binaryFile").load(f"{root}/b/deeper").orderBy("path").select("path").first()["path"]
+    copy_beginning(spark, first, f"{root}/a/cut-off.xml", 2 / 3)
+    return qa_xml.qa_records(qa_xml.scan_xml(spark, root), XML_PAIRS, 1, "files", "pair").drop("row_id")
+
+
 def split_explode(spark, folder):
     docs = _documents(spark, folder)
     return responses.split_chunks(docs, "text", NEWLINE).select(
@@ -340,6 +363,35 @@ def category_walk_seeds(spark, folder):
     return categories.walk(_edges(spark, folder), ["AMERICA", "AFRICA"], 350, cap=40)
 
 
+def _tangled_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations below regions and below each other in cycles, their segments below them, customers below several."""
+    region, nation = table(spark, folder, "region"), table(spark, folder, "nation")
+    customer = table(spark, folder, "customer")
+    other = nation.select((F.col("n_nationkey") - 3).alias("_key"), F.col("n_name").alias("_name"))
+    home = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    guest = customer.filter("c_custkey % 5 = 0").join(nation, (F.col("c_nationkey") + 1) % 25 == F.col("n_nationkey"))
+    segment = F.concat("n_name", F.lit("/"), "c_mktsegment")
+
+    def edges(rows: DataFrame, category: Column | str, title: Column | str, ns: int, pos: Column) -> DataFrame:
+        named = [F.col(c) if isinstance(c, str) else c for c in (category, title)]
+        return rows.select(named[0].alias("category"), named[1].alias("title"), F.lit(ns).alias("ns"),
+                           pos.cast("bigint").alias("pos"))
+
+    return records.union_all([
+        edges(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")), "r_name", "n_name", 14,
+              F.col("n_nationkey")),
+        edges(nation.join(other, F.pmod(F.col("n_nationkey") * 7, F.lit(25)) == F.pmod(F.col("_key"), F.lit(25))),
+              "n_name", "_name", 14, F.lit(-2)),
+        edges(home.select("n_name", "c_mktsegment").distinct(), "n_name", segment, 14, F.lit(-1)),
+        edges(home.filter("c_custkey % 3 = 0"), "n_name", "c_name", 0, F.col("c_custkey")),
+        edges(guest, "n_name", "c_name", 0, F.col("c_custkey") + 500000),
+        edges(home, segment, "c_name", 0, F.col("c_custkey"))])
+
+
+def category_walk_deep(spark, folder):
+    return categories.walk(_tangled_edges(spark, folder), ["ASIA", "PERU"], 900, cap=40, depth=3)
+
+
 def title_lookup(spark, folder):
     titles = categories.walk(_edges(spark, folder), ["ASIA", "EUROPE"], 350, cap=40)
     customer = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("title"))
@@ -376,6 +428,17 @@ def robots_filter(spark, folder):
     return webpages.crawl_allowed(pages, _crawl_rules(spark, folder))
 
 
+def crawl_source(spark, folder):
+    """Index pages that write the URLs of two in three stored pages in other ways, and what is crawled from them."""
+    pages = table(spark, folder, "pages")
+    there = F.concat(F.upper(F.regexp_extract("url", "^([a-z]+://[^/]+)", 1)),
+                     F.when(F.startswith("url", F.lit("https")), ":443").otherwise(""),
+                     F.replace(F.regexp_replace("url", "^[a-z]+://[^/]+|#.*$", ""), F.lit("&"), F.lit("&#38;")))
+    anchors = F.concat(F.lit("<ul><li><a class=x href='"), there, F.lit("#part'>one</a><li><a href=\"/missing/en/1\">no</a>"))
+    index = pages.filter("page_id % 3 <> 0").select("url", anchors.alias("html"))
+    return webpages.crawl_records(index, pages, _crawl_rules(spark, folder), CRAWLED, 0, "crawl", "article", "/en/")
+
+
 def _order_attempts(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "orders").select(F.col("o_orderkey").alias("attempt")))
 
@@ -412,6 +475,6 @@ QUERIES = {f.__name__: f for f in (
     quota_per_topic, label_counts, class_minimum, balance_classes, rare_strata, split_targets,
     stratified_split, source_breakdown, stage_metrics, partial_round_trip, csv_round_trip,
     source_union_priority, corpus_sample, two_table_half_quota, category_exclude, column_fallback,
-    unpivot_distinct, qa_pairs, split_explode, json_decode, json_id_list, json_members,
-    json_extracts, category_walk, category_walk_seeds, title_lookup, link_extract, article_text,
-    robots_filter, template_fill, template_generate, informalise)} | run_queries.QUERIES
+    unpivot_distinct, qa_pairs, xml_scan, split_explode, json_decode, json_id_list, json_members,
+    json_extracts, category_walk, category_walk_seeds, category_walk_deep, title_lookup, link_extract, article_text,
+    robots_filter, crawl_source, template_fill, template_generate, informalise)} | run_queries.QUERIES

@@ -1,7 +1,7 @@
 """The registry of sources: name, quota, label and the function that collects records."""
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,12 +11,16 @@ from evenkeel.sources import categories, qa_xml, responses, tables, templates
 
 @dataclass
 class Source:
-    """A source of the corpus. Its place in the registry list is its priority in dedup."""
+    """A source of the corpus. Its place in the registry list is its priority in dedup.
+
+    ``inputs`` are the paths that it reads, whose size decides the number of its shuffle partitions.
+    """
 
     name: str
     label: int
     quota: int
     collect: Callable[[SparkSession], DataFrame]
+    inputs: list[str] = field(default_factory=list)
 
 
 @dataclass
@@ -41,7 +45,10 @@ class Inputs:
 
 
 def default_sources(inputs: Inputs, quotas: dict[str, int] | None = None) -> list[Source]:
-    """The ten sources in priority order: medical first."""
+    """The ten sources in priority order: medical first. ``quotas`` replaces the quotas of the sources it names."""
+    unknown = set(quotas or {}) - {name for name, _, _ in config.SOURCE_QUOTAS}
+    if unknown:
+        raise ValueError(f"quotas for sources that do not exist: {sorted(unknown)}")
 
     def read(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
@@ -55,7 +62,7 @@ def default_sources(inputs: Inputs, quotas: dict[str, int] | None = None) -> lis
                                  "qa_pair")
 
     def notes(spark, quota, label, name):
-        texts = tables.read_csv_texts(spark, inputs.notes_csv, ["transcription", "description"])
+        texts = tables.read_csv_texts(spark, inputs.notes_csv, ["transcription", "description"], quota)
         return tables.first_texts(texts, quota, label, name, "clinical_note")
 
     def encyclopedia(seeds):
@@ -84,9 +91,12 @@ def default_sources(inputs: Inputs, quotas: dict[str, int] | None = None) -> lis
 
     collectors = [abstracts, qa_pairs, notes, encyclopedia(config.MEDICAL_SEEDS), questions, casual,
                   news, forum, reviews, encyclopedia(config.NON_MEDICAL_SEEDS)]
+    paths = [[inputs.abstracts], [inputs.qa_folder], [inputs.notes_csv], [inputs.edges, inputs.articles],
+             [inputs.question_pairs], [], [inputs.news], [inputs.forum],
+             [inputs.product_reviews, inputs.business_reviews], [inputs.edges, inputs.articles]]
     sources = []
-    for (name, label, quota), collect in zip(config.SOURCE_QUOTAS, collectors, strict=True):
+    for (name, label, quota), collect, reads in zip(config.SOURCE_QUOTAS, collectors, paths, strict=True):
         rows = (quotas or {}).get(name, quota)
         sources.append(Source(name, label, rows, lambda spark, c=collect, q=rows, y=label, n=name:
-                              c(spark, q, y, n)))
+                              c(spark, q, y, n), reads))
     return sources

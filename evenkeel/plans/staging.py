@@ -77,6 +77,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def copy_beginning(spark: SparkSession, path: str, to: str, share: float) -> None:
+    """Copy the first part of one file, as an interrupted copy would leave it."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = int(files.getFileStatus(source).getLen() * share)
+    begun, ended = files.open(source), files.create(target)
+    try:
+        spark._jvm.org.apache.commons.io.IOUtils.copyLarge(begun, ended, 0, size)
+    finally:
+        begun.close()
+        ended.close()
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of everything below a folder."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -84,33 +97,6 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return file_system.getContentSummary(hadoop_path).getLength()
 
 
-@contextmanager
-def replaced(spark: SparkSession, path: str) -> Iterator[str]:
-    """A folder beside ``path`` to write to, which takes its place only when the block has succeeded."""
-    home, name = path.rstrip("/").rsplit("/", 1)
-    new, old = (f"{home}/_{word}-{name}-{uuid.uuid4().hex}" for word in ("new", "old"))
-    at, fresh, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, old))
-    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    try:
-        yield new
-    except BaseException:
-        files.delete(fresh, True)
-        raise
-    there = files.exists(at)
-    if there and not files.rename(at, aside):
-        raise OSError(f"cannot move {path} aside")
-    if not files.rename(fresh, at):
-        if there:
-            files.rename(aside, at)
-        raise OSError(f"cannot put {new} in the place of {path}")
-    files.delete(aside, True)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 @dataclass
 class Pinned:
     """A small-table candidate: ``small`` says that its size was checked and it may be broadcast.

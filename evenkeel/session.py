@@ -37,6 +37,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` on the same cluster, whose settings are its own from now on."""
+    session = spark.newSession()
+    for name, value in dict(spark.conf.getAll).items():
+        if session.conf.isModifiable(name) and session.conf.get(name, None) != value:
+            session.conf.set(name, value)
+    return session
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, stored_bytes: int) -> Iterator[int]:
     """Shuffle partitions in proportion to the input, never fewer than configured.

@@ -1,11 +1,12 @@
 """Sources that are tables or CSV files of texts."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from evenkeel.config import EXCLUDED_CATEGORIES, SEED
 from evenkeel.functions.text import fence, strip
+from evenkeel.operators.numbering import file_starts, number_in_files, with_place
 from evenkeel.operators.records import first_seen, make_records, union_all
 from evenkeel.operators.sampling import first_rows, halves, sample_exact
 from evenkeel.plans.staging import stage
@@ -69,17 +70,6 @@ def question_pairs(df: DataFrame, quota: int, label: int, source: str, subtopic:
     return make_records(first_rows(questions, quota, "row_id"), "text", label, source, subtopic)
 
 
-def number_rows(df: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``row_id``, a BIGINT that sorts like the ``order`` columns (a strict total order).
-
-    A range partitioning sorts the table across tasks, and the id is partition number and position.
-    The input is staged because the ranges are sampled in a pass of their own, and the result because
-    sampling again could give other ids.
-    """
-    ranged = stage(df, "unnumbered").repartitionByRange(*order).sortWithinPartitions(*order)
-    return stage(ranged.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
-
-
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A CSV with header; quoted fields may hold newlines, and quotes doubled as ""."""
     reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
@@ -87,17 +77,29 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
-def read_csv_texts(spark: SparkSession, path: str, candidates: list[str]) -> DataFrame:
-    """One text column of a CSV, the first candidate that exists, in file order.
+def file_name() -> Column:
+    """The file of a scanned row, as ``_file``."""
+    return F.col("_metadata.file_path").alias("_file")
 
-    A multi-line file is read by one task, so the id grows along the file; files are ordered by path.
+
+def number_lines(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """``row_id`` for the rows of a CSV scan with ``file_name``: 0, 1, ... by file name, then place; the first ``most``.
+
+    The files are read twice, once to count their rows and once for the rows themselves, from the first file to the one
+    in which the cut falls. Nothing but a count per file is shuffled.
     """
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"))
+    starts = file_starts(sizes, "_file", most)
+    last = starts.extent("_file")[1]
+    wanted = rows if most is None else rows.filter(F.col("_file") <= F.lit(last))
+    return number_in_files(with_place(wanted), starts, "_file", "_nth", most)
+
+
+def read_csv_texts(spark: SparkSession, path: str, candidates: list[str], most: int | None = None) -> DataFrame:
+    """``text, row_id``: one column of a CSV, the first candidate that exists, without nulls, in file order."""
     raw = read_csv(spark, path)
-    column = column_fallback(raw, candidates)
-    placed = raw.select(F.col("_metadata.file_path").alias("_file"),
-                        F.monotonically_increasing_id().alias("_line"),
-                        F.col(column).cast("string").alias("text")).filter(F.col("text").isNotNull())
-    return number_rows(placed, ["_file", "_line"]).select("text", "row_id")
+    text = F.col(column_fallback(raw, candidates)).cast("string").alias("text")
+    return number_lines(raw.select(file_name(), text).filter(F.col("text").isNotNull()), most)
 
 
 def column_fallback(df: DataFrame, candidates: list[str]) -> str:

@@ -98,11 +98,30 @@ def generate(attempts: DataFrame, words: Vocabulary, row_id: str = "attempt",
     return informalise(attempts.select(row_id, text.alias("text")), "text", row_id, seed)
 
 
+def distinct_texts(quota: int, words: Vocabulary, spark: SparkSession, seed: int = SEED) -> tuple[DataFrame, int]:
+    """``text, attempt`` of at least ``quota`` distinct texts, if 20 attempts per row give so many; attempts made.
+
+    Attempts are made in rounds of growing size until there are enough texts. A text belongs to its first
+    attempt, so the rounds that are not made could not have changed the first ``quota``.
+    """
+    most, done, size, found = quota * ATTEMPTS_PER_ROW, 0, 2 * quota, None
+    while done < most:
+        stop = min(done + size, most)
+        attempts = spark.range(done, stop).withColumnRenamed("id", "attempt")
+        texts = first_seen(generate(attempts, words, seed=seed), "text", "attempt")
+        if found is not None:
+            texts = texts.join(found.select("text"), "text", "left_anti")
+        new = stage(texts, "generated")
+        found = new if found is None else found.unionByName(new)
+        done, size = stop, 2 * size
+        if found.count() >= quota:
+            break
+    return found, done
+
+
 def template_records(spark: SparkSession, quota: int, label: int, source: str,
                      subtopic: str | None = None, words: Vocabulary | None = None,
                      seed: int = SEED) -> DataFrame:
     """The first ``quota`` distinct texts of at most 20 attempts per row."""
-    attempts = spark.range(quota * ATTEMPTS_PER_ROW).withColumnRenamed("id", "attempt")
-    texts = first_seen(generate(attempts, words or Vocabulary(), seed=seed), "text", "attempt")
-    chosen = first_rows(stage(texts, "generated"), quota, "attempt")
-    return make_records(chosen, "text", label, source, subtopic, "attempt")
+    texts, _ = distinct_texts(max(quota, 1), words or Vocabulary(), spark, seed)
+    return make_records(first_rows(texts, quota, "attempt"), "text", label, source, subtopic, "attempt")

@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.config import LINK_FRAGMENT, MIN_ARTICLE_CHARS
-from evenkeel.functions.urls import host, path_and_query, percent_decoded, resolve
+from evenkeel.functions.charrefs import decoded
+from evenkeel.functions.text import fence
+from evenkeel.functions.urls import canonical, host, path_and_query, percent_decoded, resolve
 from evenkeel.operators.records import make_records
 from evenkeel.operators.sampling import first_rows
-from evenkeel.plans.staging import Pinned, look_up, pin, stage
+from evenkeel.plans.staging import look_up, pin, stage
 
 # Parsing functions travel with their tasks: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,19 +27,15 @@ NO_LINKS = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
 VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+)"""
 OTHER = rf"""[\s/]*+(?!href\s*=)[^\s=>"'/]++(?:\s*+=\s*+{VALUE})?+"""
 ANCHOR = rf"(?i)<a(?=[\s/])(?:{OTHER})*+[\s/]*+href\s*+=\s*+({VALUE})"
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-            ("&apos;", "'"), ("&amp;", "&")]
 
 
 def link_targets(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per anchor of a page: ``href``, unquoted and with the basic entities decoded."""
+    """One row per anchor of a page: ``href``, unquoted and with character references decoded."""
     markup = F.regexp_replace(html, NO_LINKS, "")
     raw = F.explode(F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(1)))
-    value = F.regexp_replace("href", "^[\"']|[\"']$", "")
-    for entity, char in ENTITIES:
-        value = F.replace(value, F.lit(entity), F.lit(char))
     keep = [c for c in pages.columns if c != html]
-    return pages.select(*keep, raw.alias("href")).withColumn("href", value)
+    found = pages.select(*keep, raw.alias("href"))
+    return fence(found, href=decoded(F.regexp_replace("href", "^[\"']|[\"']$", "")))
 
 
 def page_links(pages: DataFrame, fragment: str = LINK_FRAGMENT, base: Column | None = None) -> DataFrame:
@@ -45,7 +43,7 @@ def page_links(pages: DataFrame, fragment: str = LINK_FRAGMENT, base: Column | N
     base = F.col("url") if base is None else base
     found = link_targets(pages.select(base.alias("_base"), "html"))
     wanted = found.filter(F.contains("href", F.lit(fragment)))
-    return wanted.select(resolve(F.col("_base"), F.col("href")).alias("link")).distinct()
+    return fence(wanted, link=resolve(F.col("_base"), F.col("href"))).select("link").distinct()
 
 
 class _Article(HTMLParser):
@@ -145,18 +143,24 @@ def crawl_allowed(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFr
     host whose rules are known to be empty. The first matching rule decides, a host with rules but no
     match is open, an empty disallow prefix forbids nothing, a host without rules is closed.
 
-    The rules of a host come from one small file, so they travel as one array per host and no URL is
-    ever multiplied by the rules of its host.
+    A path meets a rule by equality: only its prefixes of the lengths that its host has rules of are looked up, each
+    different path once. The least rule number of those found is a partial minimum, so neither a host with very many
+    rules nor one with very many pages is ever together in one place.
     """
-    rule = F.struct("rule_no", percent_decoded(F.col("path_prefix")).alias("prefix"),
-                    (F.col("allow") | (F.col("path_prefix") == "")).alias("allow"))
-    known = pin(rules.select("host", "rule_no", "path_prefix", "allow"), "rules")
-    per_host = known.df.groupBy(F.lower("host").alias("_host")).agg(
-        F.array_sort(F.collect_list(rule)).alias("_rules"))
-    named = urls.withColumns({"_host": host(F.col(url)), "_path": path_and_query(F.col(url))})
-    joined = look_up(named, Pinned(per_host, known.small), ["_host"])
-    first_match = F.get(F.filter("_rules", lambda r: F.startswith(F.col("_path"), r["prefix"])), F.lit(0))
-    return joined.filter(F.coalesce(first_match["allow"], F.lit(True))).select(*urls.columns)
+    empty = F.col("path_prefix") == ""
+    listed = rules.select(F.lower("host").alias("_host"), "rule_no", percent_decoded(F.col("path_prefix")).alias("_prefix"),
+                          (F.col("allow") | empty).alias("allow"))
+    hosts = pin(listed.select("_host").distinct(), "rule-hosts")
+    first = pin(listed.filter(F.col("_prefix").isNotNull()).groupBy("_host", "_prefix").agg(
+        F.min(F.struct("rule_no", "allow")).alias("_rule")), "rules")
+    lengths = pin(first.df.select("_host", F.length("_prefix").alias("_length")).distinct(), "rule-lengths")
+    named = look_up(urls.withColumns({"_host": host(F.col(url)), "_path": path_and_query(F.col(url))}), hosts, ["_host"])
+    prefixes = look_up(named.select("_host", "_path").distinct(), lengths, ["_host"]).filter(
+        F.length("_path") >= F.col("_length")).withColumn("_prefix", F.left("_path", F.col("_length")))
+    decided = look_up(prefixes, first, ["_host", "_prefix"]).groupBy("_host", "_path").agg(
+        F.min(F.struct("_rule.rule_no", "_prefix", "_rule.allow")).alias("_first"))
+    denied = decided.filter(~F.col("_first.allow")).select("_host", "_path")
+    return named.join(denied, ["_host", "_path"], "left_anti").select(*urls.columns)
 
 
 def page_records(pages: DataFrame, rules: DataFrame, quota: int, label: int, source: str,
@@ -164,3 +168,29 @@ def page_records(pages: DataFrame, rules: DataFrame, quota: int, label: int, sou
     """Records of the first ``quota`` permitted pages with an article."""
     texts = stage(article_text(crawl_allowed(pages, rules), row_id), "articles")
     return make_records(first_rows(texts, quota, "row_id"), "text", label, source, subtopic)
+
+
+def linked_pages(index: DataFrame, pages: DataFrame, rules: DataFrame, fragment: str = LINK_FRAGMENT,
+                 row_id: str = "page_id") -> DataFrame:
+    """``row_id`` of the stored pages that the index pages link to and the rules permit.
+
+    Links and pages meet by their canonical URL. Of pages stored twice under one, the first counts. All of this is
+    on URLs; no page is read for it.
+    """
+    links = fence(page_links(index, fragment), _key=canonical(F.col("link"))).select("_key").distinct()
+    stored = fence(pages.select(F.col(row_id).cast("bigint").alias("row_id"), "url"),
+                   _key=canonical(F.col("url"))).groupBy("_key").agg(F.min(F.struct("row_id", "url")).alias("_page"))
+    met = stored.join(links, "_key", "left_semi").select("_page.row_id", "_page.url")
+    return crawl_allowed(met, rules).select("row_id")
+
+
+def crawl_records(index: DataFrame, pages: DataFrame, rules: DataFrame, quota: int, label: int, source: str,
+                  subtopic: str | None = None, fragment: str = LINK_FRAGMENT, row_id: str = "page_id") -> DataFrame:
+    """The page source as a whole: links of index pages, rules, stored pages, articles, the first ``quota`` records.
+
+    ``index`` and ``pages`` have ``url, html``. A page is parsed only if it is linked and permitted.
+    """
+    wanted = pin(linked_pages(index, pages, rules, fragment, row_id), "linked")
+    read = pages.select(F.col(row_id).cast("bigint").alias("row_id"), "html")
+    texts = stage(article_text(look_up(read, wanted, ["row_id"]), "row_id"), "articles")
+    return make_records(first_rows(texts, quota, "row_id"), "text", label, source, subtopic)

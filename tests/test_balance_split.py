@@ -102,16 +102,3 @@ def test_product_of_row_counts_does_not_overflow(spark):
     rows = {r["stratum"]: r for r in balance.split_targets(strata).collect()}
     assert sum(r["train"] for r in rows.values()) == 16 * 10**10
     assert all(abs(r["val"] - r["test"]) <= 1 for r in rows.values())
-
-
-def test_driver_and_table_shares_agree(spark):
-    rng = random.Random(6)
-    sizes = {f"{i % 2}_s{i}": rng.randint(1, 40) for i in range(60)}
-    frame = spark.createDataFrame(list(sizes.items()), "stratum string, rows bigint")
-    rows = {r["stratum"]: r for r in balance.split_targets(frame).collect()}
-    total = sum(sizes.values())
-    train = balance.share_out(sizes, total * 4 // 5)
-    val = balance.share_out({s: n - train[s] for s, n in sizes.items()}, (total - total * 4 // 5) // 2)
-    assert {s: r["train"] for s, r in rows.items()} == train
-    assert {s: r["val"] for s, r in rows.items()} == val
-    assert balance.share_out({}, 0) == {}
