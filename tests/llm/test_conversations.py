@@ -235,7 +235,7 @@ def test_repair(conversations, strange):
 def test_repair_of_a_giant_conversation(spark):
     """More than an Arrow batch and more than the bound in memory; one shuffle, by conversation."""
     frame = spark.range(30_000).select(
-        (F.col("id") * 0 + 5).alias("conv_id"), F.col("id").alias("turn"),
+        (F.floor(F.col("id") / 1000000) + 5).alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
         F.concat(F.lit("turn "), "id", F.when(F.col("id") % 7 == 0, "").otherwise(".")).alias("text"))
     faulty = conversation_repair.with_faults(conversation_repair.damaged(frame))
