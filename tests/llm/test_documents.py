@@ -146,6 +146,31 @@ def test_jaccard_groups(spark, documents, odd, nothing, shingle, least):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, _, c in want if d == c)
 
 
+@pytest.mark.parametrize("block", [4096, 5])
+def test_jaccard_of_crowds(spark, monkeypatch, block):
+    """Stars whose points do not link with each other, chains, near misses, lists longer than a block."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    random.seed(9)
+    texts, base = [], [f"b{i}" for i in range(120)]
+    for i in range(60):  # each a link from the base, few from each other
+        words = list(base)
+        for k in random.sample(range(120), random.randint(1, 3)):
+            words[k] = f"own{i}x{k}"
+        texts.append(words)
+    texts.append(base)
+    chain = [f"c{i}" for i in range(100)]
+    for i in range(25):  # each like the one before, none like the one after next
+        chain = [*chain[2:], f"new{i}a", f"new{i}b"]
+        texts.append(list(chain))
+    for i in range(40):  # the same line in texts that are else their own
+        texts.append([*(f"line{k}" for k in range(12)), *(f"o{i}x{k}" for k in range(random.randint(0, 4)))])
+    random.shuffle(texts)
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    want = _groups(_sets(frame.collect(), 3), 90)
+    assert sorted(map(tuple, ngram_join.link_groups(frame).collect())) == sorted(want)
+    assert len({c for _, _, c in want}) > 10
+
+
 def test_one_row_of_each_group_whatever_its_id(spark):
     near = [f"t{i}" for i in range(60)]
     other = " ".join(f"u{i}" for i in range(60))
