@@ -71,6 +71,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Staged tables by name; one that is put under a name again, or dropped, is removed from storage.
+
+    For steps that write much and need little of it for long: the tables of a round, or of a stage before the next.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """``stage``, then remove the table that had the name. ``df`` may still read that one."""
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Remove tables; frames that read them are of no use any more."""
+        for name in names:
+            if name in self.paths:
+                delete_path(self.spark, self.paths.pop(name))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder this library wrote, through the file system that holds it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -136,3 +136,17 @@ def test_splits_are_versions_too(spark, tmp_path):
     save_splits(rows.filter("row_id < 3"), folder)
     assert load_splits(spark, folder).count() == 3 and splits_path(spark, folder) > first
     assert spark.read.option("header", True).csv(first).count() == 4
+
+
+def test_tables_are_removed_when_they_are_replaced(spark):
+    from pathlib import Path
+
+    from evenkeel.plans.staging import Tables
+    tables = Tables(spark)
+    first = tables.put(spark.range(3), "t")
+    where = Path(tables.paths["t"].removeprefix("file:"))
+    second = tables.put(first.selectExpr("id + 1 as id"), "t")
+    assert sorted(r["id"] for r in second.collect()) == [1, 2, 3] and not where.exists()
+    where = Path(tables.paths["t"].removeprefix("file:"))
+    tables.drop("t", "none")
+    assert not where.exists()
