@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm.components import components
 from evenkeel.llm.words import MIX, joined, word_codes
-from evenkeel.plans.staging import delete_path, look_up, pin, scratch_path, stage
+from evenkeel.plans.staging import Tables, look_up, pin, stage
 
 SHINGLE = 3
 LEAST = 90  # links have an overlap of at least so many hundredths of the union
@@ -333,16 +333,7 @@ def class_labels(classes: DataFrame, docs: DataFrame, shingle: int, least: int)
     ``classes`` has ``row, doc_id, n, a, b, prefix, early, parity, listed``, one row per different set.
     """
     spark = classes.sparkSession
-    own = {}  # the tables of the last round, removed when the next has replaced them
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        old, own[name] = own.get(name), path
-        if old:
-            delete_path(spark, old)
-        return spark.read.schema(df.schema).parquet(path)
-
+    keep = Tables(spark).put  # the tables of a round are removed when the next has replaced them
     lists = keep(_postings(classes, least), "lists")
     labels = keep(lists.select("doc").distinct().withColumn("label", F.col("doc")), "labels")
     known = stage(classes.join(labels, F.col("row") == F.col("doc"), "left_semi").select(

@@ -15,19 +15,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.induced_sort import suffix_order
 from evenkeel.llm.words import joined
-from evenkeel.plans.staging import stage
+from evenkeel.plans.staging import Tables, stage
 
 WINDOW = 100
 ANCHOR = 32
 SHARD_BYTES = 2 << 20
 PLACES = np.uint64(1 << 20)  # windows whose runs are looked for at a time
-NO_ID = -(1 << 63)
-KEYS = ["doc", "sub"]
+# What tells texts apart, in the order of documents: null ids first, then ids, then hashes of the text (96 bits) that part
+# the texts of a repeated id. A null id has 64 bits more in place of the id.
+KEYS = ["has_id", "doc", "sub", "more"]
+KEY_TYPES = "has_id boolean, doc bigint, sub bigint, more int"
 
 
 def _string_hashes(data: np.ndarray, length: int) -> np.ndarray:
@@ -77,14 +80,23 @@ def _runs(data: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return start + at, n, anchor.view(np.int64), content.view(np.int64)
 
 
+def _keys(doc_id: str, text: str) -> list[F.Column]:
+    more = F.shiftrightunsigned(F.xxhash64(F.lit("more"), text), 33).cast("int")
+    return [F.col(doc_id).isNotNull().alias("has_id"), F.coalesce(doc_id, F.xxhash64(F.lit("no id"), text)).alias("doc"),
+            F.xxhash64(text).alias("sub"), more.alias("more")]
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts under ``doc, sub``: a null id comes before all others; ``sub`` parts the texts of a repeated id."""
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.crc32("text").alias("sub"), "text")
+    """Texts under ``KEYS``; rows that agree in id and text are one document."""
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(*_keys("doc_id", "text"), "text")
+
+
+def _taken(batch: pa.RecordBatch, of: pa.Array) -> list[pa.Array]:
+    return [batch[k].take(of) for k in KEYS]
 
 
 def text_runs(keyed: DataFrame) -> DataFrame:
-    """``doc, sub, start, n, anchor, content`` of the runs of all texts."""
+    """``KEYS, start, n, anchor, content`` of the runs of all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [runs(np.frombuffer(t.as_buffer(), np.uint8) if t.as_buffer().size else np.zeros(0, np.uint8))
@@ -93,35 +105,33 @@ def text_runs(keyed: DataFrame) -> DataFrame:
             of = pa.array(np.repeat(np.arange(len(found)), sizes))
             start, n, anchor, content = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"].take(of), batch["sub"].take(of), pa.array(start.astype(np.int32)),
-                 pa.array(n.astype(np.int32)), pa.array(anchor), pa.array(content)],
-                ["doc", "sub", "start", "n", "anchor", "content"])
+                [*_taken(batch, of), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(anchor),
+                 pa.array(content)], [*KEYS, "start", "n", "anchor", "content"])
 
-    return keyed.mapInArrow(run, "doc bigint, sub bigint, start int, n int, anchor bigint, content bigint")
+    return keyed.mapInArrow(run, f"{KEY_TYPES}, start int, n smallint, anchor bigint, content bigint")
 
 
 def _contents(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of wanted runs: ``doc, sub, start, n, shard, bytes``."""
+    """The bytes of wanted runs: ``KEYS, start, n, shard, bytes``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, sub, text, pieces in zip(*[batch[c].to_pylist() for c in ("doc", "sub", "text", "pieces")],
-                                              strict=True):
-                data = text.encode()
-                out += [(doc, sub, p["start"], p["n"], p["shard"], data[p["start"]:p["start"] + p["n"] + WINDOW - 1])
-                        for p in pieces]
-            names = ["doc", "sub", "start", "n", "shard", "bytes"]
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            pieces = batch["pieces"]
+            flat, of = pieces.flatten(), pc.list_parent_indices(pieces)
+            start, n = (flat.field(c).to_numpy() for c in ("start", "n"))
+            cut = []
+            for text, at, size in zip(of.to_pylist(), start.tolist(), n.tolist()):
+                cut.append(batch["text"][text].as_buffer()[at:at + size + WINDOW - 1].to_pybytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 6, types, strict=True)], names)
+                [*_taken(batch, of), flat.field("start"), flat.field("n"), flat.field("shard"), pa.array(cut, pa.binary())],
+                [*KEYS, "start", "n", "shard", "bytes"])
 
     by_text = wanted.groupBy(KEYS).agg(F.collect_list(F.struct("start", "n", "shard")).alias("pieces"))
     return keyed.join(by_text, KEYS).mapInArrow(
-        run, "doc bigint, sub bigint, start int, n int, shard int, bytes binary")
+        run, f"{KEY_TYPES}, start int, n smallint, shard int, bytes binary")
 
 
 def window_digests(pieces: DataFrame) -> DataFrame:
-    """``doc, sub, start, digest`` of every window of these runs."""
+    """``KEYS, start, digest`` of every window of these runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch["n"].to_numpy()
@@ -131,16 +141,15 @@ def window_digests(pieces: DataFrame) -> DataFrame:
                 batch["bytes"].to_pylist(), sizes.tolist(), strict=True) for i in range(n)]
             start = batch["start"].take(of).to_numpy() + place
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"].take(of), batch["sub"].take(of), pa.array(start, pa.int64()), pa.array(digests, pa.binary())],
-                ["doc", "sub", "start", "digest"])
+                [*_taken(batch, of), pa.array(start, pa.int64()), pa.array(digests, pa.binary())], [*KEYS, "start", "digest"])
 
-    return pieces.mapInArrow(run, "doc bigint, sub bigint, start bigint, digest binary")
+    return pieces.mapInArrow(run, f"{KEY_TYPES}, start bigint, digest binary")
 
 
 def later_windows(pieces: DataFrame) -> DataFrame:
     """Spans of the windows of these runs that an earlier one of them equals; no task holds all of an anchor."""
     windows = stage(window_digests(pieces), "windows")
-    place = F.struct("doc", "sub", "start")
+    place = F.struct(*KEYS, "start")
     firsts = windows.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).filter(
         "c > 1").select("digest", "first")
     return windows.join(firsts, "digest").filter(place > F.col("first")).select(
@@ -148,7 +157,7 @@ def later_windows(pieces: DataFrame) -> DataFrame:
 
 
 def sort_shard(pieces: pd.DataFrame) -> pd.DataFrame:
-    """Spans ``doc, sub, start, end`` of the windows of these runs that an earlier one of them equals."""
+    """Spans ``KEYS, start, end`` of the windows of these runs that an earlier one of them equals."""
     pieces = pieces.drop_duplicates([*KEYS, "start"]).sort_values([*KEYS, "start"])
     lengths = pieces["bytes"].map(len).to_numpy()
     begin = np.cumsum(lengths + 1) - lengths - 1
@@ -177,20 +186,23 @@ def sort_shard(pieces: pd.DataFrame) -> pd.DataFrame:
     first, end = edges[0::2], edges[1::2]
     of = np.searchsorted(begin, first, side="right") - 1
     start = pieces["start"].to_numpy()[of] + first - begin[of]
-    return pd.DataFrame({"doc": pieces["doc"].to_numpy()[of], "sub": pieces["sub"].to_numpy()[of],
-                         "start": start, "end": start + end - first + WINDOW - 1})
+    return pd.DataFrame({k: pieces[k].to_numpy()[of] for k in KEYS} | {
+        "start": start, "end": start + end - first + WINDOW - 1})
 
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
-    """``doc, sub, start, end`` of byte spans to remove; they may overlap."""
-    found = stage(text_runs(keyed), "runs")
+    """``KEYS, start, end`` of byte spans to remove; they may overlap."""
+    tables = Tables(keyed.sparkSession)
+    found = tables.put(text_runs(keyed), "runs")
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor")
-    repeated = stage(found.join(anchors, "anchor"), "repeated")
-    place = F.struct("doc", "sub", "start")
+    repeated = tables.put(found.join(anchors, "anchor"), "repeated")
+    tables.drop("runs")
+    place = F.struct(*KEYS, "start")
     firsts = stage(repeated.groupBy("anchor", "content", "n").agg(F.min(place).alias("first")), "firsts")
-    again = repeated.join(firsts, ["anchor", "content", "n"]).filter(place > F.col("first")).select(
+    again = stage(repeated.join(firsts, ["anchor", "content", "n"]).filter(place > F.col("first")).select(
         *KEYS, F.col("start").cast("bigint").alias("start"), (F.col("start") + F.col("n") + WINDOW - 1).cast(
-            "bigint").alias("end"))
+            "bigint").alias("end")), "again")
+    tables.drop("repeated")
     several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("n") + WINDOW).alias("size")
                                            ).filter("c > 1")
     several = several.withColumn("hot", F.col("size") > SHARD_BYTES)
@@ -200,7 +212,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     wanted = firsts.join(several.select("anchor", "hot"), "anchor").select(
         "first.*", "n", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "hot")
     sorted_ = _contents(keyed, wanted.filter(~F.col("hot"))).groupBy("shard").applyInPandas(
-        sort_shard, "doc bigint, sub bigint, start bigint, end bigint")
+        sort_shard, f"{KEY_TYPES}, start bigint, end bigint")
     spans = again.union(stage(sorted_, "sorted"))
     return spans.union(stage(later_windows(_contents(keyed, wanted.filter("hot"))), "later")) if hot else spans
 
@@ -221,7 +233,7 @@ def _cut(docs: DataFrame, others: tuple[str, ...]) -> DataFrame:
     by_text = repeated_spans(keyed).groupBy(KEYS).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
     rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"),
                        F.col("text").isNull().alias("_null"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(others)])
-    rows = rows.withColumns({"doc": F.coalesce("_id", F.lit(NO_ID)), "sub": F.crc32("_text")})
+    rows = rows.select("*", *_keys("_id", "_text"))
     return rows.join(by_text, KEYS, "left").drop(*KEYS)
 
 
@@ -229,7 +241,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every whole text.
 
     A null or empty text has no bytes. A null ``doc_id`` comes before all others. Different texts under one
-    ``doc_id`` are ordered by checksum; rows that repeat both are one document and give equal rows.
+    ``doc_id`` are ordered by hash; rows that repeat both are one document and give equal rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

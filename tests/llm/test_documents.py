@@ -303,6 +303,31 @@ def test_repeated_strings(spark, documents, odd, nothing, monkeypatch):
     assert suffix_dedup.without_repeats(odd).columns == odd.columns
 
 
+def test_texts_under_one_id_or_none_are_told_apart(spark):
+    """Equal checksums, null ids, the smallest id, repeated rows: of each string one copy stays, and only one."""
+    seen, pair = {}, None
+    while pair is None:
+        text = "".join(random.choices("abcdefghij", k=10))
+        other = seen.setdefault(zlib.crc32(text.encode()), text)
+        pair = (other, text) if other != text else None
+    tail = "".join(random.choices("klmnopqrst", k=300))
+    for one, other in ((None, None), (4, 4), (-(1 << 63), None), (1, 2)):
+        frame = spark.createDataFrame([(one, pair[0] + tail), (other, pair[1] + tail)], "doc_id bigint, text string")
+        rows = suffix_dedup.remove_repeats(frame).collect()
+        assert sorted(r["n_removed"] for r in rows) == [0, 300]
+        if one != other:  # a null id comes first, then the smaller one
+            assert [r["n_removed"] for r in rows if r["doc_id"] == min(filter(None, (one, other)))] == [300 if None in (one, other) else 0]
+        kept = suffix_dedup.without_repeats(frame).collect()
+        assert sorted(len(r["text"]) for r in kept) == [10, 310]
+    # Null ids in any number against a restatement that numbers the texts as the operator orders them.
+    texts = ["".join(random.choices("uvwxyz", k=40)) + tail[a:a + 120] + "".join(random.choices("uvwxyz", k=40))
+             for a in [random.randrange(180) for _ in range(40)]]
+    frame = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    total = sum(r["n_removed"] for r in suffix_dedup.remove_repeats(frame).collect())
+    order = [(r["text"]) for r in frame.select("text", *suffix_dedup._keys("doc_id", "text")).orderBy(*suffix_dedup.KEYS).collect()]
+    assert total == sum(w[2] for w in _removed((i, t.encode()) for i, t in enumerate(order))) > 1000
+
+
 def test_a_hot_anchor_is_not_one_shard(spark, tmp_path, monkeypatch):
     random.seed(8)
     phrase = "the same phrase of some sixty bytes in each and every document "
