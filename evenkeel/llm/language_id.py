@@ -128,9 +128,16 @@ def identify(docs: DataFrame, others: tuple[str, ...] = (), profiles: Profiles |
 
 
 def in_known_language(docs: DataFrame, least: float) -> DataFrame:
-    """The documents whose language is found with at least the given score, in their own columns."""
+    """The documents whose language is found with at least the given score, in their own columns.
+
+    Null texts and those without a letter go. Where nothing can be learned, as no training row has a language, no
+    language can be unlike all others: every text with a letter stays.
+    """
+    profiles = learn(docs)
+    if not profiles.names:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     renamed = docs.withColumnsRenamed(own)
-    found = identify(renamed, tuple(renamed.columns), learn(docs))
+    found = identify(renamed, tuple(renamed.columns), profiles)
     return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(
         *[F.col(own.get(c, c)).alias(c) for c in docs.columns])

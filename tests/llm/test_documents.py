@@ -197,65 +197,48 @@ def test_components_of_chains_and_hubs(spark):
     assert got == {(i, 0) for i in range(31)} | {(100 + i, 100) for i in range(20)} | {(200, 100)}
 
 
-def _scores(rows):
+def _scores(rows, held_out=None):
+    """The model in plain Python; it sums to one over the words and an unknown one."""
     words = [(r["doc_id"], WORDS.findall((r["text"] or "").translate(LOWER)) + ["\n"]) for r in rows]
-    held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in words]
+    held = [held_out if held_out is not None else d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in words]
     one, two = Counter(), Counter()
     for (_, w), h in zip(words, held, strict=True):
         if not h:
             one.update(w)
             two.update(zip(["\n", *w[:-1]], w, strict=True))
-    total, distinct = sum(one.values()), len(one)
-    mix = sum(n - 1 for n in two.values() if n > 1) / max(sum(two.values()), 1)
-    for (d, w), h in zip(words, held, strict=True):
-        alone = [(one[t] + 1) / (total + distinct + 1) for t in w]
-        pairs = [two[p] / max(one[p[0]], 1) if two[p] > 1 else 0 for p in zip(["\n", *w[:-1]], w, strict=True)]
-        yield (d, h, len(w), sum(one[t] > 0 for t in w), total, sum(map(math.log10, alone)),
-               sum(math.log10((1 - mix) * a + mix * s) for a, s in zip(alone, pairs, strict=True)))
+    after, total, distinct = Counter(c for c, _ in two), sum(one.values()), len(one)
 
+    def p1(w):
+        return (one[w] + 1) / (total + distinct + 1)
 
-@pytest.mark.parametrize("part", [60, 2_000_000])
-def test_language_model(documents, odd, nothing, part, monkeypatch):
-    monkeypatch.setattr(language_model, "PART_TOKENS", part * 10)
-    for frame in (documents, odd):
+    def p(c, w):
+        return (max(two[c, w] - 0.75, 0) + 0.75 * after[c] * p1(w)) / one[c] if one[c] else p1(w)
+
+    for c in ["\n", *list(one)[:20], "no such word"]:  # the last word is any unknown one
+        assert sum(p(c, w) for w in [*one, "no such word"]) == pytest.approx(1)
+    for (d, w), h in zip(words, held, strict=True):
+        yield (d, h, len(w), sum(one[t] > 0 for t in w), total, sum(math.log10(p1(t)) for t in w),
+               sum(math.log10(p(c, t)) for c, t in zip(["\n", *w[:-1]], w, strict=True)))
+
+
+@pytest.mark.parametrize("part,bucket", [(600, 3_000), (2_000_000, 2_000_000), (5_000, 700)])
+def test_language_model(documents, odd, nothing, part, bucket, monkeypatch):
+    """Parts of few documents, ranges of few contexts, and contexts that are divided."""
+    monkeypatch.setattr(language_model, "PART_TOKENS", part)
+    monkeypatch.setattr(language_model, "BUCKET_TOKENS", bucket)
+    some = documents.select("doc_id", "text").limit(120) if bucket < 10_000 else documents
+    ends = documents.sparkSession.createDataFrame([(-(1 << 63), "an id as small as can be"), (None, "and none")],
+                                                  "doc_id bigint, text string")
+    for frame in (some.select("doc_id", "text").union(ends).cache(), odd):
         got = sorted(map(tuple, language_model.score(frame).collect()), key=repr)
         want = sorted(_scores(frame.collect()), key=repr)
         for g, w in zip(got, want, strict=True):
-            assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-3)
+            assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9)
+            assert abs(g[6] - w[6]) < g[2] / 2 / language_model.STEPS + 1e-6  # half a step a token
     assert language_model.score(nothing).isEmpty()
     assert {r["train_tokens"] for r in language_model.score(documents, F.lit(True)).collect()} == {0}
 
 
-def _smoothed(rows):
-    words = [(r["doc_id"], WORDS.findall((r["text"] or "").translate(LOWER)) + ["\n"]) for r in rows]
-    one, two = Counter(), Counter()
-    for d, w in words:
-        if d is None or zlib.crc32(str(d).encode()) % 7 != 2:
-            one.update(w)
-            two.update(zip(["\n", *w[:-1]], w, strict=True))
-    n1, n2 = (sum(n == k for n in two.values()) for k in (1, 2))
-    less, after, total = (n1 + 1) / (n1 + 2 * n2 + 2), Counter(c for c, _ in two), sum(one.values()) + len(one) + 1
-
-    def p(c, w):
-        alone = (one[w] + 1) / total
-        return (max(two[c, w] - less, 0) + less * after[c] * alone) / one[c] if one[c] else alone
-
-    for c in ["\n", *list(one)[:20], "no such word"]:  # the last word is any unknown one
-        assert sum(p(c, w) for w in [*one, "no such word"]) == pytest.approx(1)
-    return [(d, sum(math.log10(p(c, t)) for c, t in zip(["\n", *w[:-1]], w, strict=True))) for d, w in words]
-
-
-def test_every_pair_counts_and_the_model_sums_to_one(documents, odd, monkeypatch):
-    monkeypatch.setattr(language_model, "PART_TOKENS", 2_000)
-    monkeypatch.setattr(language_model, "BUCKET_TOKENS", 20_000)
-    monkeypatch.setattr(queries, "_documents", lambda spark, folder: documents.limit(150).select("doc_id", "text").union(
-        odd.filter("doc_id <> 5 OR doc_id IS NULL").select("doc_id", "text")).coalesce(2).cache())
-    frame = queries._documents(None, None)
-    got = sorted(((r["doc_id"], r["score"]) for r in queries.op10_language_model(None, None).collect()), key=repr)
-    for g, w in zip(got, sorted(_smoothed(frame.collect()), key=repr), strict=True):
-        assert g[0] == w[0] and g[1] == pytest.approx(w[1], rel=1e-3)
-
-
 def test_elias_fano_and_trie(tmp_path):
     rng = np.random.default_rng(2)
     for n, top in ((1, 1), (5, 3), (1000, 1 << 40), (5000, 900)):
