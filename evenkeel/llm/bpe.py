@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from evenkeel.llm.merge_rounds import merge_table
-from evenkeel.llm.tokens import Encoder, texts, vocabulary
+from evenkeel.llm.tokens import Encoder, sliced, texts, vocabulary
 
 
 @lru_cache(4)
@@ -39,7 +39,7 @@ def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     as the library does by default. Repeated rows give repeated rows; other columns are not looked at.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             bounds, ids = encoder(path).encode(batch["text"])
             columns = [batch["doc_id"], pa.ListArray.from_arrays(
                 pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))]
@@ -59,7 +59,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = [str(i).encode() for i in range(len(token_strings(path)))]
-        for batch in batches:
+        for batch in sliced(batches):
             bounds, ids = encoder(path).encode(batch["text"])
             coded, plain = [], []
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.tokens import library_encoder, texts
+from evenkeel.llm.tokens import library_encoder, sliced, texts
 from evenkeel.plans.staging import stage
 
 END_ID = 2
@@ -93,7 +93,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             bounds, ids = library_encoder(path).encode(batch["text"])
             rows = len(bounds) - 1
             total = np.diff(bounds) + 1

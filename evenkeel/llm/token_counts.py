@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from evenkeel.llm.merge_rounds import merge_table
-from evenkeel.llm.tokens import Encoder, byte_letters, texts, vocabulary
+from evenkeel.llm.tokens import Encoder, byte_letters, sliced, texts, vocabulary
 
 
 @lru_cache(4)
@@ -29,7 +29,7 @@ def proven_ids(path: str) -> np.ndarray:
             text = bytes(back[c] for c in word).decode()
         except (KeyError, UnicodeDecodeError):
             continue  # no text has it as a pre-token of its own
-        if word and vocab.words(text) == [word]:
+        if word and vocab.words(text) == [text]:
             whole.append((word, i))
     merged = table.encode([w for w, _ in whole])
     return np.sort(np.array([i for (_, i), ids in zip(whole, merged, strict=True) if ids == [i]], np.int64))
@@ -64,7 +64,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counters.setdefault(path, None) or Counter(path, proven)
         _counters[path] = counter
-        for batch in batches:
+        for batch in sliced(batches):
             tokens = np.diff(counter.encode(batch["text"])[0])
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pc.binary_length(batch["text"]).cast(pa.int64()), pa.array(tokens),

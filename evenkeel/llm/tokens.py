@@ -8,8 +8,9 @@ are emptied at a fixed size, so memory does not grow with the table; they change
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-CACHED = 250_000
+CACHED = 400_000  # pre-tokens, some 60 MB
 AT_ONCE = 4 << 20  # bytes of text whose chunks are laid out at a time
 MARK = "\x1f"
 
-# Chunks of these characters are normalised and split by the plain patterns below; any other by the library.
-_PLAIN = re.compile(r"[\n\t -~À-ÖØ-öø-įĲ-ňŊ-ž]*\Z")
+# Chunks of these characters are normalised and split by the plain patterns below, any other by the library's
+# pre-tokenization. Plain chunks are split together: a white space that none of them has stands between them.
+PLAIN = r"\A[\n\t -~À-ÖØ-öø-įĲ-ňŊ-ž]*\z"
+BETWEEN = "\x1e"
 _LETTERS = r"A-Za-zÀ-ÖØ-öø-ž"
-_BYTE_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
-_LOWER_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
+_BYTE_WORDS = re.compile(rf"{BETWEEN}|'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+"
+                         rf"|[^\S{BETWEEN}]+(?!\S)|[^\S{BETWEEN}]+")
+_LOWER_WORDS = re.compile(rf"{BETWEEN}|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
 _ODD_SPACE = (r"[\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}"
               r"\x{3000}\x{feff}]")
 
@@ -36,6 +40,16 @@ def texts(docs: DataFrame, *others: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *others)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of a few megabytes of ``text``, a longer text in one of its own."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(size // AT_ONCE)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                yield batch.slice(a, b - a)
+
+
 @lru_cache(1)
 def byte_letters() -> dict[int, str]:
     """The printable character that byte-level vocabularies write for each byte."""
@@ -48,6 +62,16 @@ def byte_level(word: str) -> str:
     return word.encode().decode("latin-1").translate(byte_letters())
 
 
+@lru_cache(1)
+def _bytes_of_letters() -> dict[int, int]:
+    return {ord(c): b for b, c in byte_letters().items()}
+
+
+def plain_text(word: str) -> str:
+    """The text that a byte-level string stands for."""
+    return word.translate(_bytes_of_letters()).encode("latin-1").decode()
+
+
 class Vocabulary:
     """A tokenizer file: the library's tokenizer, its pre-tokenization, and its merges as data."""
 
@@ -62,16 +86,20 @@ class Vocabulary:
         self.lower = spec["normalizer"] is not None
 
     def words(self, chunk: str) -> list[str]:
-        """The pre-tokens of a chunk, as the byte-level strings that the merges work on."""
-        if _PLAIN.match(chunk):
-            found = _LOWER_WORDS.findall(chunk.lower()) if self.lower else _BYTE_WORDS.findall(chunk)
-            return [w if w.isascii() and w.isalnum() else byte_level(w) for w in found]
+        """The pre-tokens of a chunk by the library, as they stand in the normalised chunk."""
         if self.library.normalizer:
             chunk = self.library.normalizer.normalize_str(chunk)
-        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+        return [plain_text(w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
+    def odd_words(self, text: str) -> list[str]:
+        """The pre-tokens of a text that is not cut at spaces; a special string is one of its own, under a mark."""
+        out = []
+        for piece in re.split("(" + "|".join(map(re.escape, self.special)) + ")", text):
+            out += [MARK + piece] if piece in self.special else self.words(piece) if piece else []
+        return out
 
     def cut(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """A list of chunks per text, and which texts the library has to encode as a whole."""
+        """A list of chunks per text, and which texts cannot be cut at spaces."""
         special = "|".join(re.escape(s) for s in self.special)
         if self.lower:  # white space is dropped: any space is a place to cut
             odd = pc.match_substring_regex(column, special)
@@ -90,71 +118,96 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _gathered(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches ``values[start:start + size]`` in a row."""
+    ends = np.cumsum(size)
+    return values[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
-    """Ids of whole texts. ``solve`` encodes new pre-tokens; it gets a list and returns one id list each."""
+    """Ids of whole texts. ``solve`` encodes new pre-tokens; it gets a list and returns one id list each.
+
+    Distinct chunks of a batch are split in one pass over all of them; pre-tokens are numbered, and the ids of numbered
+    pre-tokens lie in a row, so texts are put together by gathering.
+    """
 
     def __init__(self, vocab: Vocabulary, solve: Callable[[list[str]], list]):
         self.vocab, self.solve = vocab, solve
         self.forget()
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.known: dict[str, list[int]] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _learn(self, chunks: list[str]) -> None:
-        words = [self.vocab.words(c) for c in chunks]
-        new = list({w for ws in words for w in ws if w not in self.known})
-        self.known.update(zip(new, self.solve(new), strict=True))
-        flat, ends, first = [], [], len(self.codes)
-        for chunk, ws in zip(chunks, words, strict=True):
-            for w in ws:
-                flat.extend(self.known[w])
-            ends.append(self.used + len(flat))
-            self.codes[chunk] = len(self.codes)
-        while self.used + len(flat) > len(self.ids):
+        self.known: dict[str, int] = {}  # numbers of pre-tokens, as they stand in a text
+        self.ids, self.ends, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
+        self._add([MARK + s for s in self.vocab.special], [[i] for i in self.vocab.special.values()])
+
+    def _add(self, words: list[str], solved: list) -> None:
+        size = np.fromiter(map(len, solved), np.int64, len(solved))
+        total, first = int(size.sum()), len(self.known)
+        while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.codes) >= len(self.ends):
+        while first + len(words) >= len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.ends[first + 1:len(self.codes) + 1] = ends
-        self.used += len(flat)
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(solved), np.uint32, total)
+        self.ends[first + 1:first + len(words) + 1] = self.used + np.cumsum(size)
+        self.used += total
+        self.known.update(zip(words, range(first, first + len(words))))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        if new:
+            self._add(new, self.solve([w if w.isascii() and w.isalnum() else byte_level(w) for w in new]))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _split(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of pre-tokens in a row; where those of each chunk start there and how many they are."""
+        plain = pc.match_substring_regex(chunks, PLAIN).to_numpy(zero_copy_only=False)
+        start, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        words = np.zeros(0, np.int64)
+        if plain.any():
+            joined = BETWEEN.join(chunks.filter(pa.array(plain)).to_pylist()) + BETWEEN
+            found = pa.array((_LOWER_WORDS.findall(joined.lower()) if self.vocab.lower else _BYTE_WORDS.findall(joined))
+                             ).dictionary_encode()
+            code, names = found.indices.to_numpy(), found.dictionary.to_pylist()
+            between = names.index(BETWEEN)
+            names[between] = names[between - 1]
+            ends = np.flatnonzero(code == between)
+            ends -= np.arange(len(ends))
+            start[plain], size[plain] = np.append(0, ends[:-1]), np.diff(ends, prepend=0)
+            code = code[code != between]
+            words = self._numbers(names)[code] if len(code) else words
+        if not plain.all():
+            others = [self.vocab.words(c) for c in chunks.filter(pa.array(~plain)).to_pylist()]
+            count = np.array([len(o) for o in others])
+            start[~plain], size[~plain] = len(words) + np.cumsum(count) - count, count
+            words = np.concatenate([words, self._numbers(list(chain.from_iterable(others)))])
+        return words, start, size
+
+    def _of_words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered pre-tokens in a row, and where those of each start, one more at the end."""
+        size = self.ends[words + 1] - self.ends[words]
+        return _gathered(self.ids, self.ends[words], size), np.append(0, np.cumsum(size))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Where each text's ids start (one more at the end), and all ids in a row."""
-        sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
-        cuts = [0, *(np.flatnonzero(np.diff(sizes // AT_ONCE)) + 1).tolist(), len(column)]
-        done = [self._encode(column.slice(a, b - a)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for b, _ in done]))])
-        return bounds.astype(np.int64), np.concatenate([ids for _, ids in done])
-
-    def _encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.codes) > CACHED or len(self.known) > CACHED:
+        """Where each text's ids start (one more at the end), and all ids in a row; for some megabytes of text."""
+        if len(self.known) > CACHED:
             self.forget()
         lists, odd = self.vocab.cut(column)
         found = lists.flatten().dictionary_encode()
-        chunks = found.dictionary.to_pylist()
-        self._learn([c for c in chunks if c not in self.codes])
-        code = np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
-        code = code[found.indices.to_numpy(zero_copy_only=False)]
-        start, size = self.ends[code], self.ends[code + 1] - self.ends[code]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+        words, start, size = self._split(found.dictionary)
+        flat, at = self._of_words(words)
+        code = found.indices.to_numpy(zero_copy_only=False)
+        first, many = at[start][code], (at[start + size] - at[start])[code]
+        ids = _gathered(flat, first, many)
         cuts = lists.offsets.to_numpy()
-        bounds = ends[cuts - cuts[0]]
+        bounds = np.append(0, np.cumsum(many))[cuts - cuts[0]]
         return self._with_odd(column, odd, bounds, ids) if odd.any() else (bounds, ids)
 
     def _with_odd(self, column, odd, bounds, ids):
         pieces = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         for i in np.flatnonzero(odd):
-            pieces[i] = np.array(self.whole(column[i].as_py()), np.uint32)
+            pieces[i] = self._of_words(self._numbers(self.vocab.odd_words(column[i].as_py())))[0]
         return np.concatenate([[0], np.cumsum([len(p) for p in pieces])]), np.concatenate(pieces)
 
-    def whole(self, text: str) -> list[int]:
-        return self.vocab.library.encode(text, add_special_tokens=False).ids
-
 
 @lru_cache(4)
 def library_encoder(path: str) -> Encoder:

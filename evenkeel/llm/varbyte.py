@@ -11,14 +11,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm.tokens import library_encoder, texts
+from evenkeel.llm.tokens import library_encoder, sliced, texts
+from evenkeel.operators.numbering import running_sums
+from evenkeel.plans.staging import look_up, pin
 
 SEGMENT_BYTES = 16 << 20  # of text
-SCHEMA = ("segment int, nth int, doc_ids binary, lengths binary, id_by_rank binary, n_ids bigint, "
-          "control binary, data binary")
+# no_ids: how many of the documents, the first ones, have a null id.
+SCHEMA = ("segment int, nth int, no_ids bigint, doc_ids binary, lengths binary, id_by_rank binary, control binary, "
+          "data binary, n_ids bigint")
 # Bytes of the four ids of a control byte.
 SIZES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.int64)
@@ -55,61 +59,38 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2,
               segment_bytes: int = SEGMENT_BYTES) -> None:
     """Encode every whole text, add the end id and write the table of files.
 
-    Segments are cut at quantiles of ``doc_id``, about one per ``segment_bytes`` of text. Rows of one
-    ``doc_id`` stay in one segment, ordered by their ids' checksum; null ids come first and are written as the
-    smallest BIGINT. Null and empty texts have the end id alone. An empty table gives a table without rows.
+    Texts are dealt by ranges of ``doc_id``, about one per ``segment_bytes`` of text, and encoded where they are written.
+    Null ids come first. Rows of one id, or of none, are ordered by hashes of their texts, and a range may begin among
+    them, so that an id with very many rows is no single segment. Null and empty texts have the end id alone. An
+    empty table gives a table without rows.
     """
-    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    wanted = int(size // segment_bytes)
-    cuts = [k / (wanted + 1) for k in range(1, wanted + 1)]
-    bounds = (docs.agg(F.percentile_approx("doc_id", cuts, 10_000).alias("p")).first()["p"] or []) if cuts else []
-    bounds = np.array(sorted(set(bounds)), np.int64)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start, ids = library_encoder(tokenizer).encode(batch["text"])
-            narrow = np.dtype("<u2") if len(ids) == 0 or ids.max() < 1 << 16 else np.dtype("<u4")
-            raw = ids.astype(narrow)
-            blobs = [raw[a:b].tobytes() for a, b in zip(start[:-1], start[1:], strict=True)]
-            doc = batch["doc_id"].fill_null(-(1 << 63))
-            yield pa.RecordBatch.from_arrays(
-                [doc, pa.array(np.searchsorted(bounds, doc.to_numpy()).astype(np.int32)),
-                 pa.array([zlib.crc32(b) for b in blobs], pa.int64()),
-                 pa.array(np.full(len(doc), narrow.itemsize, np.int32)), pa.array(blobs, pa.binary())],
-                ["doc_id", "segment", "crc", "width", "ids"])
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text"), F.xxhash64(F.lit("more"), "text")]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted; a segment is flushed when the next begins or when it is large enough."""
-        key, docs_in, held, amount, nth = None, [], [], 0, 0
+        segment, nth, held, amount = TaskContext.get().partitionId(), 0, [], 0
 
-        def flush():
-            ids = np.concatenate([np.append(x, np.uint32(end_id)) for x in held])
-            table, control, data = pack_ids(ids)
+        def block() -> pa.RecordBatch:
+            table, control, data = pack_ids(np.concatenate([ids for _, _, ids in held]))
+            doc = pa.concat_arrays([d for d, _, _ in held])
+            lengths = np.concatenate([n for _, n, _ in held])
+            blobs = (doc.fill_null(0).to_numpy().astype("<i8").tobytes(), lengths.astype("<u4").tobytes(), table, control, data)
             return pa.RecordBatch.from_arrays(
-                [pa.array([key], pa.int32()), pa.array([nth], pa.int32()),
-                 *[pa.array([x], pa.binary()) for x in (
-                     np.array(docs_in, "<i8").tobytes(), np.array([len(x) + 1 for x in held], "<u4").tobytes(),
-                     table)], pa.array([len(ids)], pa.int64()),
-                 pa.array([control], pa.binary()), pa.array([data], pa.binary())],
-                ["segment", "nth", "doc_ids", "lengths", "id_by_rank", "n_ids", "control", "data"])
+                [pa.array([segment], pa.int32()), pa.array([nth], pa.int32()), pa.array([doc.null_count], pa.int64()),
+                 *[pa.array([x], pa.binary()) for x in blobs], pa.array([int(lengths.sum())], pa.int64())],
+                ["segment", "nth", "no_ids", "doc_ids", "lengths", "id_by_rank", "control", "data", "n_ids"])
 
-        for batch in batches:
-            for doc, segment, width, blob in zip(*[batch[c].to_pylist() for c in (
-                    "doc_id", "segment", "width", "ids")], strict=True):
-                if held and (segment != key or amount > segment_bytes):
-                    yield flush()
-                    nth = nth + 1 if segment == key else 0
-                    docs_in, held, amount = [], [], 0
-                key = segment
-                docs_in.append(doc)
-                held.append(np.frombuffer(blob, f"<u{width}").astype(np.uint32))
-                amount += len(blob)
+        for batch in sliced(batches):
+            start, ids = library_encoder(tokenizer).encode(batch["text"])
+            held.append((batch["doc_id"], np.diff(start) + 1, np.insert(ids, start[1:], end_id).astype(np.uint32)))
+            amount += len(ids)
+            if amount > segment_bytes // 4:  # ids, of some four bytes of text each
+                yield block()
+                nth, held, amount = nth + 1, [], 0
         if held:
-            yield flush()
+            yield block()
 
-    coded = texts(docs).mapInArrow(encode, "doc_id bigint, segment int, crc bigint, width int, ids binary")
-    (coded.repartition(len(bounds) + 1, "segment").sortWithinPartitions("segment", "doc_id", "crc")
+    (texts(docs).repartitionByRange(size // segment_bytes + 1, *order).sortWithinPartitions(*order)
      .mapInArrow(write, SCHEMA).write.option("compression", "uncompressed").parquet(path))
 
 
@@ -120,13 +101,9 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
     little-endian unsigned 32-bit integers.
     """
     table = spark.read.schema(SCHEMA).parquet(path)
-    # A row per segment, of some megabytes each; only their sizes come to the driver.
-    sizes = sorted((r["segment"], r["nth"], r["n_ids"]) for r in table.select("segment", "nth", "n_ids").collect())
-    starts, total = {}, 0
-    for segment, nth, n in sizes:
-        starts[segment, nth] = total
-        total += n
-    starts = spark.sparkContext.broadcast(starts)
+    place = ["segment", "nth"]
+    starts = running_sums(table.select(*place, "n_ids"), place, "n_ids").select(*place, "before")
+    placed = look_up(table, pin(starts, "starts"), place)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,9 +114,8 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
                 end = np.cumsum(length)
                 raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
                 crc = [zlib.crc32(raw[a * 4:b * 4]) for a, b in zip((end - length).tolist(), end.tolist(), strict=True)]
-                columns = [pa.array(doc, mask=doc == -(1 << 63)),
-                           pa.array(end - length + starts.value[row["segment"], row["nth"]]),
-                           pa.array(length), pa.array(crc, pa.int64())]
+                columns = [pa.array(doc, mask=np.arange(len(doc)) < row["no_ids"]),
+                           pa.array(end - length + row["before"]), pa.array(length), pa.array(crc, pa.int64())]
                 if keep_ids:
                     columns.append(pa.ListArray.from_arrays(
                         pa.array(np.append(0, end).astype(np.int32)), pa.array(ids.astype(np.int32))))
@@ -147,4 +123,4 @@ def read_ids(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFram
                     columns, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:len(columns)])
 
     kind = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<int>" if keep_ids else "")
-    return table.mapInArrow(run, kind)
+    return placed.mapInArrow(run, kind)

@@ -43,6 +43,28 @@ def test_a_full_cache_changes_nothing(strings, monkeypatch):
         assert all((a == b).all() for a, b in zip(once, again, strict=True))
 
 
+def test_odd_texts_go_through_the_merges(strings, monkeypatch):
+    """Special strings and odd spaces: the library splits, the dealt code encodes, whole texts are never handed over."""
+    class Split:
+        def __init__(self, library):
+            self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
+
+    for path in (BYTE, WORD):
+        vocab = tokens.Vocabulary(path)
+        library, vocab.library = vocab.library, Split(vocab.library)
+        encoder = tokens.Encoder(vocab, bpe.merge_table(path).encode)
+        bounds, ids = encoder.encode(pa.array(strings))
+        assert ids.tolist() == [i for e in library.encode_batch(strings, add_special_tokens=False) for i in e.ids]
+
+
+def test_batches_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "AT_ONCE", 10)
+    column = pa.array(["a" * n for n in (3, 30, 0, 0, 4, 4, 4, 9, 50)])
+    batch = pa.RecordBatch.from_arrays([column, pa.array(range(9))], ["text", "n"])
+    parts = list(tokens.sliced(iter([batch, batch.slice(0, 0)])))
+    assert [n for p in parts for n in p["n"].to_pylist()] == list(range(9)) and len(parts) > 3
+
+
 def test_decoding_is_the_librarys(strings):
     library = Tokenizer.from_file(WORD)
     for text in strings[:300]:
@@ -120,12 +142,15 @@ def test_plan_pairs_large_pieces_at_most_twice():
 
 
 def test_id_files(spark, documents, odd, nothing, tmp_path):
-    for k, (frame, size) in enumerate([(documents, 20_000), (odd, 1 << 20), (nothing, 100)]):
+    least = spark.createDataFrame([(i, f"text {k} of an id") for k in range(40) for i in (-(1 << 63), None, 5, (1 << 63) - 1)],
+                                  "doc_id bigint, text string")
+    for k, (frame, size) in enumerate([(documents, 20_000), (odd, 1 << 20), (nothing, 100), (least, 300)]):
         varbyte.write_ids(frame, WORD, f"{tmp_path}/{k}", segment_bytes=size)
         got = sorted(varbyte.read_ids(spark, f"{tmp_path}/{k}", keep_ids=True).collect(), key=lambda r: r["start"])
         want = _expected(frame.collect(), WORD, [2])
         assert sorted((repr(r["doc_id"]), r["ids"]) for r in got) == sorted((repr(d), i) for d, i in want)
-        assert [r["doc_id"] or -1 for r in got] == sorted(d or -1 for d, _ in want)
+        order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in got]
+        assert order == sorted((d is not None, d or 0) for d, _ in want)
         at = 0
         for r in got:
             assert r["start"] == at and r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
