@@ -153,23 +153,31 @@ class Encoder:
         self.known.update(zip(words, range(first, first + len(words))))
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        """Numbers of different pre-tokens."""
+        new = [w for w in words if w not in self.known]
         if new:
             self._add(new, self.solve([w if w.isascii() and w.isalnum() else byte_level(w) for w in new]))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
+    def _all_numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of pre-tokens in a row."""
+        self._numbers(list(dict.fromkeys(words)))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
     def _split(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Numbers of pre-tokens in a row; where those of each chunk start there and how many they are."""
         plain = pc.match_substring_regex(chunks, PLAIN).to_numpy(zero_copy_only=False)
         start, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
         words = np.zeros(0, np.int64)
         if plain.any():
-            joined = BETWEEN.join(chunks.filter(pa.array(plain)).to_pylist()) + BETWEEN
+            easy = chunks.filter(pa.array(plain))
+            whole = pa.ListArray.from_arrays(pa.array([0, len(easy)], pa.int32()), easy)
+            joined = pc.binary_join(whole, BETWEEN)[0].as_py() + BETWEEN
             found = pa.array((_LOWER_WORDS.findall(joined.lower()) if self.vocab.lower else _BYTE_WORDS.findall(joined))
                              ).dictionary_encode()
             code, names = found.indices.to_numpy(), found.dictionary.to_pylist()
             between = names.index(BETWEEN)
-            names[between] = names[between - 1]
+            names[between] = MARK + next(iter(self.vocab.special))  # a name that is known
             ends = np.flatnonzero(code == between)
             ends -= np.arange(len(ends))
             start[plain], size[plain] = np.append(0, ends[:-1]), np.diff(ends, prepend=0)
@@ -179,7 +187,7 @@ class Encoder:
             others = [self.vocab.words(c) for c in chunks.filter(pa.array(~plain)).to_pylist()]
             count = np.array([len(o) for o in others])
             start[~plain], size[~plain] = len(words) + np.cumsum(count) - count, count
-            words = np.concatenate([words, self._numbers(list(chain.from_iterable(others)))])
+            words = np.concatenate([words, self._all_numbers(list(chain.from_iterable(others)))])
         return words, start, size
 
     def _of_words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +213,7 @@ class Encoder:
     def _with_odd(self, column, odd, bounds, ids):
         pieces = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         for i in np.flatnonzero(odd):
-            pieces[i] = self._of_words(self._numbers(self.vocab.odd_words(column[i].as_py())))[0]
+            pieces[i] = self._of_words(self._all_numbers(self.vocab.odd_words(column[i].as_py())))[0]
         return np.concatenate([[0], np.cumsum([len(p) for p in pieces])]), np.concatenate(pieces)
 
 

@@ -30,18 +30,23 @@ MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.int64)
 
 def pack_ids(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Ids by rank, control bytes and data bytes of one segment."""
-    found, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    values = rank[inverse]
+    if ids.max(initial=0) >> 24:  # too far apart to be counted in a table
+        names, ids = np.unique(ids, return_inverse=True)
+    else:
+        names = None
+    counts = np.bincount(ids)
+    found = np.flatnonzero(counts)
+    found = found[np.argsort(-counts[found], kind="stable")]
+    rank = np.zeros(len(counts), np.int64)
+    rank[found] = np.arange(len(found))
+    values = rank[ids]
     size = 1 + (values > MASKS[1]) + (values > MASKS[2]) + (values > MASKS[3])
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[:len(values)] = size - 1
     control = codes.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
     wide = values.astype("<u4").view(np.uint8).reshape(-1, 4)
     data = wide[np.arange(4) < size[:, None]]
-    return found[order].astype("<u4").tobytes(), control.astype(np.uint8).tobytes(), data.tobytes()
+    return (found if names is None else names[found]).astype("<u4").tobytes(), control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def unpack_ids(id_by_rank: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
