@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm.components import components
@@ -36,8 +36,8 @@ BITS = np.uint64((1 << 48) - 1)
 
 
 def _residue(least: int) -> int:
-    """One shingle in so many is listed first, in the order of its frequency: more than a prefix takes."""
-    return max(1, 60 // (100 - least)) if least < 100 else 100
+    """One shingle in so many is listed first, in the order of its frequency: a quarter more than a prefix takes."""
+    return max(1, 80 // (100 - least)) if least < 100 else 100
 
 
 def _pack(keys: np.ndarray) -> bytes:
@@ -144,10 +144,11 @@ def _postings(classes: DataFrame, least: int) -> DataFrame:
     miss in one of equal size; so a list only needs to compare its shallow sets with all. ``strange`` is the share of a
     class's early shingles that no other class has, in thousandths: the set that copies were made from has few.
     """
+    # Most shingles are met once: they are dropped where they are counted, and no others are moved twice.
     tokens = classes.select("row", F.explode("listed").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = tokens.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("df > 1")
     late = F.col("token") % _residue(least) != 0
-    by_class = tokens.join(shared, "token").groupBy("row").agg(
+    by_class = shared.groupBy("row").agg(
         F.sort_array(F.collect_list(F.when(~late, F.struct("df", "token")))).alias("t"),
         F.collect_list(F.when(late, F.col("token"))).alias("rest")).join(
         classes.select("row", "n", "prefix", "early"), "row")
@@ -327,17 +328,14 @@ def _in_blocks(lists: DataFrame, across: bool) -> DataFrame:
         F.lit(True).alias("asked"), ((F.col("blocks") == 1) | F.lit(across)).alias("whole"))
 
 
-def class_labels(classes: DataFrame, docs: DataFrame, shingle: int, least: int) -> DataFrame:
+def class_labels(lists: DataFrame, known: DataFrame, docs: DataFrame, shingle: int, least: int) -> DataFrame:
     """``doc, label`` of classes that meet others: all classes of a group have the smallest row among them as label.
 
-    ``classes`` has ``row, doc_id, n, a, b, prefix, early, parity, listed``, one row per different set.
+    ``lists`` are the postings of different sets, ``known`` has ``row, doc_id, n, a, b, parity`` of each of these.
     """
-    spark = classes.sparkSession
+    spark = lists.sparkSession
     keep = Tables(spark).put  # the tables of a round are removed when the next has replaced them
-    lists = keep(_postings(classes, least), "lists")
-    labels = keep(lists.select("doc").distinct().withColumn("label", F.col("doc")), "labels")
-    known = stage(classes.join(labels, F.col("row") == F.col("doc"), "left_semi").select(
-        "row", "doc_id", "n", "a", "b", "parity"), "known")
+    labels = keep(known.select(F.col("row").alias("doc"), F.col("row").alias("label")), "labels")
     sets = refuted = None
     across, each = False, 1
     while True:
@@ -386,12 +384,19 @@ def link_groups(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) ->
     that repeat a ``doc_id`` with different texts are separate sets. A row with a null ``doc_id`` takes no
     part and has a null component. An empty table gives no rows.
     """
-    sets = stage(shingle_sets(docs, shingle, least).withColumn("row", F.monotonically_increasing_id()), "sets")
+    tables = Tables(docs.sparkSession)
+    found = tables.put(shingle_sets(docs, shingle, least).withColumn("row", F.monotonically_increasing_id()), "found")
+    sets = stage(found.select("row", "doc_id", "n", "a", "b"), "sets")
     classes = stage(sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("n", "a", "b").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("least")), "classes")
-    labels = class_labels(sets.join(classes.select("row"), "row"), docs, shingle, least)
-    found = labels.select(F.col("doc").alias("row"), F.col("label").alias("component"))
-    named = stage(classes.join(found, "row", "left").withColumn("component", F.coalesce("component", "row")), "named")
+    kinds = found.join(classes.select("row"), "row")
+    lists = stage(_postings(kinds, least), "postings")
+    met = stage(kinds.join(lists.select(F.col("doc").alias("row")).distinct(), "row", "left_semi").select(
+        "row", "doc_id", "n", "a", "b", "parity"), "met")
+    tables.drop("found")
+    labels = class_labels(lists, met, docs, shingle, least).select(
+        F.col("doc").alias("row"), F.col("label").alias("component"))
+    named = stage(classes.join(labels, "row", "left").withColumn("component", F.coalesce("component", "row")), "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     known = named.join(least, "component").select("n", "a", "b", "component_id")
     whole = sets.select("doc_id", "n", "a", "b").join(known, ["n", "a", "b"], "left")
