@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    bpe, conversation_repair, language_id, language_model, ngram_join, packing, prefix_trie, quality_rules, simhash_join,
+    bpe, conversation_repair, language_id, language_model, ngram_join, oracle, packing, prefix_trie, quality_rules, simhash_join,
     suffix_dedup, token_counts, topk_blocks, varbyte)
 from evenkeel.plans.staging import scratch_path
 
@@ -82,6 +82,10 @@ QUERIES = {f.__name__: f for f in (
     op12_simhash_near_dedup, op13_conversation_repair)}
 
 SQL = {
+    "op4_suffix_array_dedup": oracle.REPEATS,
+    "op9_ngram_jaccard": oracle.JACCARD,
+    "op11_conversation_trie": oracle.TRIE,
+    "op13_conversation_repair": oracle.REPAIR,
     "op6_exact_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e

@@ -316,3 +316,8 @@ def test_simhash_links_in_crowds(spark):
 
 def test_queries_are_registered():
     assert {f"op{n}" for n in (11, 12, 13)} <= {name.split("_")[0] for name in queries.QUERIES}
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_are_their_sql(spark, name):
+    assert differences(queries.QUERIES[name](spark, FOLDER), duck(FOLDER), queries.SQL[name]) is None

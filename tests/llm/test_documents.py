@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -35,6 +36,54 @@ def test_languages(documents, odd, nothing):
     assert kept.columns == odd.columns
 
 
+def _grams(text):
+    words = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()).split()
+    counts = Counter()
+    for w in words:
+        counts.update(w)
+    line = f" {' '.join(words)} "
+    for n in (2, 3):
+        counts.update(g for g in (line[i:i + n] for i in range(len(line) - n + 1)) if g.strip() and g[1:-1] != " ")
+    return counts
+
+
+def test_distances_are_out_of_place(spark):
+    """The prediction from a plain restatement of ranks and distances; ties of counts go by the n-gram's letters."""
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = documents.select("doc_id", "text", "lang").collect()
+    totals = {}
+    for r in rows:
+        if r["lang"] and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            totals.setdefault(r["lang"], Counter()).update(_grams(r["text"]))
+
+    def key(gram):  # n-grams are numbers of three letters of 21 bits
+        out = 0
+        for c in gram:
+            out = out << 21 | ord(c)
+        return out
+
+    def ranked(counts, most):
+        return sorted(counts, key=lambda g: (-counts[g], key(g)))[:most]
+
+    profiles = {lang: {g: i for i, g in enumerate(ranked(c, language_id.PROFILE))} for lang, c in totals.items()}
+    got = {r["doc_id"]: r for r in language_id.identify(documents).collect()}
+    for r in rows:
+        top = ranked(_grams(r["text"] or ""), language_id.TEXT_GRAMS)
+        cost = {lang: sum(abs(p[g] - i) if g in p else language_id.PROFILE for i, g in enumerate(top)) for lang, p in profiles.items()}
+        best = min(sorted(cost), key=cost.get)
+        assert got[r["doc_id"]]["lang_pred"] == best
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 - cost[best] / (language_id.PROFILE * len(top)))
+
+
+def test_documents_stay_where_no_language_can_be_learned(spark, odd):
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = language_id.in_known_language(unlabelled, 0.2)
+    texts = [r["text"] for r in odd.collect()]
+    assert kept.columns == odd.columns
+    assert sorted(r["text"] for r in kept.collect()) == sorted(
+        t for t in texts if t and any(unicodedata.category(c)[0] == "L" for c in t))
+
+
 def _statistics(text):
     words = WORDS.findall(text)
     lines = [line for line in text.split("\n") if WORDS.search(line)]
