@@ -235,7 +235,11 @@ def judge(docs: DataFrame, labels: DataFrame, others: tuple[str, ...] = ()) -> D
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, in their own columns."""
+    """The documents that the rules keep, in their own columns.
+
+    Each row is judged by its text alone: repeated rows and rows without a ``doc_id`` stay or go with it, null and
+    empty texts go. An empty table gives no rows; without labels the base rule decides.
+    """
     own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     renamed = docs.withColumnsRenamed(own)
     judged = judge(renamed, labels, tuple(renamed.columns)).filter("kept")

@@ -266,7 +266,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with their repeated byte strings cut out, in their own columns; null texts stay null.
 
-    A cut through a character takes what is left of it too. Documents with no word left are dropped.
+    A cut through a character takes what is left of it too. Documents with no word left are dropped. Rows that agree in
+    id and text are one document and are cut alike; null ids come first, texts of one id are ordered by hash. An empty
+    table gives no rows.
     """
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
 
