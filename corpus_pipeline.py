@@ -1,6 +1,8 @@
 """A corpus pipeline of the operators in ``evenkeel.llm``: from raw documents to packed token sequences.
 
-Each stage takes all that the one before it kept; all but the last return the columns of ``documents``.
+Each stage takes all that the one before it kept; all but the last return the columns of ``documents``, whatever further
+columns there are and whatever they are called. Rows are judged as rows: repeated ids, null ids and repeated rows
+are no error. Null and empty texts go in the first stage. Empty tables give no rows.
 """
 
 import public_tokenizers
@@ -13,27 +15,33 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules learned from ``labels`` keep."""
+    """Documents that the rules learned from ``labels`` keep; null and empty texts go, equal texts have one fate."""
     return quality_rules.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; those without a letter and those like no profile go."""
+    """Documents whose language is recognised; those without a letter and those like no profile go.
+
+    Where no document has a ``lang`` to learn from, only those without a letter go.
+    """
     return language_id.in_known_language(docs, LEAST_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, that with the smallest id, of every group linked by five-word shingles at 0.8 or more."""
+    """One row, that with the smallest id, of every group linked by five-word shingles at 0.8 or more.
+
+    A null id comes after all others, of equal ids the first row stays; texts without words link with nothing.
+    """
     return ngram_join.one_of_each_group(docs, shingle=5, least=80)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 100-byte strings that an earlier place has too."""
+    """Texts without the 100-byte strings that an earlier place has too; what has no word left goes."""
     return suffix_dedup.without_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all token pieces in sequences of 1024."""
+    """Places of all token pieces in sequences of 1024; a null or empty text is its end id."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -45,6 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the whole ``documents`` table, each written and read again: a row per packed piece."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)
