@@ -1,6 +1,6 @@
 """The same queries in SQL, written independently for DuckDB, to check results against."""
 
-from evenkeel.config import CONTRACTIONS
+from evenkeel.config import CONTRACTIONS, MEDICAL_SEEDS, NON_MEDICAL_SEEDS
 from evenkeel.sources.templates import Vocabulary
 
 # The whitespace class in RE2 syntax.
@@ -209,6 +209,63 @@ def _deep_walk(seeds: list[str], cap: int, target: int, depth: int) -> str:
         WHERE ns = 0 GROUP BY title ORDER BY place LIMIT {target}"""
 
 
+def _seeded_walk(seeds: list[str], place: str, target: int) -> str:
+    """Texts of the first articles below seeds, of which regions are some; 200 members a category count."""
+    names = ", ".join("'" + s.replace("'", "''") + "'" for s in seeds)
+    return f"""(WITH
+    edges AS (SELECT ([{names}])[1 + {place}] AS category, n_name AS title, 14 AS ns, n_nationkey AS pos FROM nation
+              UNION ALL SELECT n_name, c_name, 0, c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    capped AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY pos, title) AS nth FROM edges QUALIFY nth <= 200),
+    top AS (SELECT title, (list_position([{names}], category) - 1) * 200 + nth - 1 AS place FROM capped WHERE ns = 14),
+    titles AS (SELECT c.title, min({200 * len(seeds)} + t.place * 200 + nth - 1) AS place
+               FROM capped c JOIN top t ON c.category = t.title WHERE c.ns = 0 GROUP BY c.title ORDER BY place LIMIT {target})
+    SELECT text, place FROM titles JOIN customer ON c_name = title JOIN documents ON doc_id = c_custkey
+    WHERE lang <> 'de' AND length(text) > 0 ORDER BY place LIMIT {target})"""
+
+
+def _ten_sources() -> str:
+    three = "concat(chr(10), chr(10), chr(10))"
+    words = Vocabulary()
+    filled = f"""replace(replace({_pick(words.templates, _draw('template', 'attempt', 1))}, '{{symptom}}',
+        {_pick(words.symptoms, _draw('template', 'attempt', 2))}), '{{duration}}',
+        {_pick(words.durations, _draw('template', 'attempt', 3))})"""
+    tried = f"""SELECT attempt, CASE WHEN {_draw('template', 'attempt', 0)} < {int(0.75 * 2 ** 32)} THEN {filled}
+        ELSE {_pick(words.questions, _draw('template', 'attempt', 4))} END AS text FROM (SELECT unnest(range(1400)) AS attempt)"""
+    records = [
+        _records("abstracts", "text", 1, "pubmed", "abstract", "row_id"),
+        _records("pairs", "text", 1, "medquad", "qa_pair", "row_id"),
+        _records("(SELECT * FROM documents WHERE lang <> 'es' AND text <> '' ORDER BY doc_id LIMIT 50)", "text", 1, "mtsamples",
+                 "clinical_note", "doc_id"),
+        _records(_seeded_walk(MEDICAL_SEEDS, "n_regionkey", 80), "text", 1, "wikipedia_medical", "article", "place"),
+        _records("questions", "text", 1, "medquestionpairs", "patient_question", "row_id"),
+        _records("(SELECT text, min(attempt) AS row_id FROM i7 GROUP BY text ORDER BY 2 LIMIT 70)", "text", 1,
+                 "synthetic_casual", "templated_query", "row_id"),
+        _records(_sample("documents", "agnews", "doc_id", 110), "text", 0, "agnews", "news", "doc_id"),
+        _records(_sample("(SELECT * FROM documents WHERE lang <> 'de')", "newsgroups20", "doc_id", 45), "text", 0,
+                 "newsgroups20", "forum_post", "doc_id"),
+        _records(_sample("turns", "amazon_yelp/1", "row_id", 30),
+                 "concat(CASE WHEN role <> 'system' THEN role ELSE '' END, ' ', text)", 0, "amazon_yelp", "amazon_review",
+                 "row_id"),
+        _records(_sample("documents", "amazon_yelp/2", "doc_id", 31), "text", 0, "amazon_yelp", "yelp_review", "doc_id"),
+        _records(_seeded_walk(NON_MEDICAL_SEEDS, "6 - n_regionkey", 70), "text", 0, "wikipedia_nonmedical", "article", "place")]
+    return f"""WITH turns AS ({TURNS}), x AS ({EXCHANGES}),
+        parts AS (SELECT cast(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 25 AS topic, doc_id,
+                  string_split(replace(text, '. ', concat('.', {three})), {three}) AS p FROM documents),
+        chunks AS (SELECT topic, doc_id, generate_subscripts(p, 1) AS pos, unnest(p) AS raw FROM parts),
+        told AS (SELECT topic, doc_id, pos, {_strip("raw")} AS text FROM chunks),
+        shares AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY doc_id, pos) AS nth FROM told WHERE text <> ''),
+        abstracts AS (SELECT text, row_number() OVER (ORDER BY topic, doc_id, pos) AS row_id FROM shares WHERE nth <= 3
+                      QUALIFY row_id <= 75),
+        s AS (SELECT row_id, row_id // 100000 % 3 AS folder, {_strip("question_1")} AS q, {_strip("question_2")} AS a FROM x),
+        pairs AS (SELECT row_id, CASE WHEN q <> '' THEN concat(q, ' ', a) ELSE a END AS text FROM s
+                  WHERE a <> '' AND folder < 2 ORDER BY folder, row_id LIMIT 60),
+        u AS (SELECT {_strip("question_1")} AS text, row_id * 2 AS row_id FROM x UNION ALL
+              SELECT {_strip("coalesce(question_2, '')")}, row_id * 2 + 1 FROM x),
+        questions AS (SELECT text, min(row_id) AS row_id FROM u WHERE text <> '' GROUP BY text ORDER BY 2 LIMIT 90),
+        {_informal(tried, "attempt")}
+        SELECT text, label, source, subtopic FROM ({" UNION ALL ".join(f"SELECT * FROM ({r})" for r in records)})"""
+
+
 def _generated() -> str:
     words = Vocabulary()
     template = _pick(words.templates, _draw("template", "o_orderkey", 1))
@@ -429,6 +486,7 @@ SQL = {
         SELECT * EXCLUDE (row_id) FROM ({_records(
             "(SELECT * FROM documents WHERE text <> '' ORDER BY doc_id LIMIT 150)", "text", 1, "second",
             "clinical_note", "doc_id")})""",
+    "ten_sources": _ten_sources(),
     "template_fill": f"""WITH {_informal(_generated(), "attempt")} SELECT attempt, text FROM i7""",
     "template_generate": f"""WITH {_informal(_generated(), "attempt")}
         SELECT text, min(attempt) AS attempt FROM i7 GROUP BY text ORDER BY 2 LIMIT 500""",

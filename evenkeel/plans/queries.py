@@ -13,9 +13,9 @@ from evenkeel.functions.urls import host
 from evenkeel.operators import balance, dedup, metrics, records, sampling
 from evenkeel.plans import corpus, run_queries
 from evenkeel.plans.build import load_splits, save_splits
-from evenkeel.plans.inputs import labelled_documents, table
+from evenkeel.plans.inputs import exchanges, labelled_documents, table, turns
 from evenkeel.plans.raw_zone import load_partial, save_partial
-from evenkeel.plans.staging import copy_beginning, scratch_path, stage
+from evenkeel.plans.staging import scratch_path, stage
 from evenkeel.session import spread
 from evenkeel.sources import categories, qa_xml, responses, tables, templates, webpages
 
@@ -23,7 +23,6 @@ NEWLINE = "\n"
 SAMPLE_ROWS = 250
 TOPIC_QUOTA, TOPICS = 200, 8
 TEMPLATE_ROWS = 500
-XML_PAIRS = 160
 CRAWLED = 30
 
 
@@ -215,35 +214,21 @@ def csv_round_trip(spark, folder):
 
 
 def source_union_priority(spark, folder):
-    turns, docs = _turns(spark, folder), _documents(spark, folder)
+    asked, docs = turns(spark, folder), _documents(spark, folder)
     return records.combine_sources([
-        records.make_records(turns, "text", 1, "turns", "question", "row_id"),
+        records.make_records(asked, "text", 1, "turns", "question", "row_id"),
         records.make_records(docs, "text", 0, "corpus", None, "doc_id")])
 
 
 # --- sources ------------------------------------------------------------------------------------
 
-def _turns(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "conversations").withColumn(
-        "row_id", F.col("conv_id") * 100000 + F.col("turn"))
-
-
-def _exchanges(spark: SparkSession, folder: str) -> DataFrame:
-    """User turns with the assistant turn that follows, if any: an equi-join on unique keys."""
-    turns = _turns(spark, folder)
-    asked = turns.filter(F.col("role") == "user").select("row_id", F.col("text").alias("question_1"))
-    answered = turns.filter(F.col("role") == "assistant").select(
-        (F.col("row_id") - 1).alias("row_id"), F.col("text").alias("question_2"))
-    return asked.join(answered, "row_id", "left")
-
-
 def corpus_sample(spark, folder):
     docs = table(spark, folder, "documents")
     return tables.corpus_sample(docs, SAMPLE_ROWS, 0, "news", "news", row_id="doc_id")
 
 
 def two_table_half_quota(spark, folder):
-    first = _turns(spark, folder).select(
+    first = turns(spark, folder).select(
         "row_id", F.when(F.col("role") != "system", F.col("role")).alias("title"),
         F.col("text").alias("content"))
     second = table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), "text")
@@ -264,7 +249,7 @@ def column_fallback(spark, folder):
 
 
 def unpivot_distinct(spark, folder):
-    return tables.question_pairs(_exchanges(spark, folder), SAMPLE_ROWS, 1, "questions", "question")
+    return tables.question_pairs(exchanges(spark, folder), SAMPLE_ROWS, 1, "questions", "question")
 
 
 def qa_pairs(spark, folder):
@@ -277,33 +262,11 @@ def qa_pairs(spark, folder):
     pair = F.concat(F.lit("<QAPair>"), tagged("Question", "question_1"),
                     tagged("Answer", "question_2"), F.lit("</QAPair>"))
     content = F.concat(F.lit("<Document><QAPairs>"), pair, F.lit("</QAPairs></Document>"))
-    files = _exchanges(spark, folder).select(F.col("row_id").cast("string").alias("path"),
+    files = exchanges(spark, folder).select(F.col("row_id").cast("string").alias("path"),
                                              F.encode(content, "utf-8").alias("content"))
     return qa_xml.extract_pairs(files)
 
 
-def xml_scan(spark, folder):
-    """The first pairs of XML files, several a file, in two folders of which one is nested; a third is damaged.
-
-    The damaged files end in the middle of a pair or begin with a broken declaration, and count for nothing.
-    """
-    root = scratch_path(spark, "xml")
-    conversation = F.floor(F.col("row_id") / 100000)
-    asked = stage(_exchanges(spark, folder), "exchanges")
-
-    def write(rows: DataFrame, name: str, **options: str) -> None:
-        (rows.repartitionByRange(3, "row_id").sortWithinPartitions("row_id")
-         .select(F.col("question_1").alias("Question"), F.col("question_2").alias("Answer"))
-         .write.format("xml").options(rowTag="QAPair", rootTag="QAPairs", **options).save(f"{root}/{name}"))
-
-    write(asked.filter(conversation % 3 == 0), "a")
-    write(asked.filter(conversation % 3 == 1), "b/deeper")
-    write(asked.filter(conversation % 3 == 2), "a/broken", declaration='version="1.0" <')
-    first = spark.read.format("binaryFile").load(f"{root}/b/deeper").orderBy("path").select("path").first()["path"]
-    copy_beginning(spark, first, f"{root}/a/cut-off.xml", 2 / 3)
-    return qa_xml.qa_records(qa_xml.scan_xml(spark, root), XML_PAIRS, 1, "files", "pair").drop("row_id")
-
-
 def split_explode(spark, folder):
     docs = _documents(spark, folder)
     return responses.split_chunks(docs, "text", NEWLINE).select(
@@ -464,8 +427,8 @@ def informalise(spark, folder):
     for word, contraction in (("de", "don't"), ("the", "it's"), ("la", "can't"), ("of", "i'm")):
         casual = F.replace(casual, F.lit(f" {word} "), F.lit(f" {contraction} "))
     casual = F.regexp_replace(casual, r"\.\z", "?")
-    turns = _turns(spark, folder).select("row_id", casual.alias("text"))
-    return templates.informalise(turns, "text", "row_id")
+    asked = turns(spark, folder).select("row_id", casual.alias("text"))
+    return templates.informalise(asked, "text", "row_id")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -475,6 +438,6 @@ QUERIES = {f.__name__: f for f in (
     quota_per_topic, label_counts, class_minimum, balance_classes, rare_strata, split_targets,
     stratified_split, source_breakdown, stage_metrics, partial_round_trip, csv_round_trip,
     source_union_priority, corpus_sample, two_table_half_quota, category_exclude, column_fallback,
-    unpivot_distinct, qa_pairs, xml_scan, split_explode, json_decode, json_id_list, json_members,
+    unpivot_distinct, qa_pairs, split_explode, json_decode, json_id_list, json_members,
     json_extracts, category_walk, category_walk_seeds, category_walk_deep, title_lookup, link_extract, article_text,
     robots_filter, crawl_source, template_fill, template_generate, informalise)} | run_queries.QUERIES

@@ -7,16 +7,19 @@ lies in a folder of its own; tables that a query stages on the way are removed b
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.operators.records import make_records
+from evenkeel.config import MEDICAL_SEEDS, NON_MEDICAL_SEEDS
+from evenkeel.operators.records import make_records, union_all
 from evenkeel.plans.build import build_corpus, load_splits
-from evenkeel.plans.inputs import table
+from evenkeel.plans.inputs import exchanges, table, turns, write_pairs, write_texts
 from evenkeel.plans.raw_zone import combine, load_partial, run_sources
-from evenkeel.plans.registry import Source
+from evenkeel.plans.registry import Inputs, Source, default_sources
 from evenkeel.plans.staging import scratch_path
 from evenkeel.session import spread
-from evenkeel.sources import tables
+from evenkeel.sources import qa_xml, tables
 
-CSV_ROWS = 150
+CSV_ROWS, XML_PAIRS = 150, 160
+TEN_QUOTAS = {"pubmed": 75, "medquad": 60, "mtsamples": 50, "wikipedia_medical": 80, "medquestionpairs": 90,
+              "synthetic_casual": 70, "agnews": 110, "newsgroups20": 45, "amazon_yelp": 61, "wikipedia_nonmedical": 70}
 
 
 def _turn_source(folder: str) -> Source:
@@ -117,12 +120,69 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = []
     for name, rows in (("both", both), ("second", second)):
         path = scratch_path(spark, "csv")
-        (rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False).csv(path))
+        write_texts(rows, path)
         texts = tables.read_csv_texts(spark, path, ["transcription", "description"], CSV_ROWS)
         found.append(tables.first_texts(texts, CSV_ROWS, 1, name, "clinical_note").drop("row_id"))
     return found[0].unionByName(found[1])
 
 
+def xml_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The first pairs of XML files in nested folders; damaged files count for nothing."""
+    root = scratch_path(spark, "xml")
+    write_pairs(spark, folder, root)
+    return qa_xml.qa_records(qa_xml.scan_xml(spark, root), XML_PAIRS, 1, "files", "pair").drop("row_id")
+
+
+def _ten_inputs(spark: SparkSession, folder: str) -> Inputs:
+    """Raw material for the ten default sources, each in the form that its source reads, made of the given tables."""
+    root = scratch_path(spark, "inputs")
+
+    def save(name: str, rows: DataFrame) -> str:
+        rows.write.parquet(f"{root}/{name}")
+        return f"{root}/{name}"
+
+    def named(seeds: list[str], place: F.Column) -> F.Column:
+        return F.get(F.array(*[F.lit(s) for s in seeds]), place)
+
+    docs = table(spark, folder, "documents")
+    customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
+    region = F.col("n_regionkey").cast("int")
+    top = [nation.select(category.alias("category"), F.col("n_name").alias("title"), F.lit(14).alias("ns"),
+                         F.col("n_nationkey").cast("bigint").alias("pos"))
+           for category in (named(MEDICAL_SEEDS, region), named(NON_MEDICAL_SEEDS, 6 - region))]
+    below = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("category"), F.col("c_name").alias("title"), F.lit(0).alias("ns"),
+        F.col("c_custkey").cast("bigint").alias("pos"))
+    articles = docs.filter("lang <> 'de'").join(customer, F.col("doc_id") == F.col("c_custkey")).select(
+        F.col("c_name").alias("title"), F.col("text").alias("extract"))
+    numbered = docs.withColumnRenamed("doc_id", "row_id")
+    write_pairs(spark, folder, f"{root}/xml")
+    write_texts(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(
+        F.when(F.col("lang") != "es", F.col("text")).alias("transcription"), F.lit("unused").alias("description")),
+        f"{root}/csv")
+    return Inputs(
+        abstracts=save("abstracts", docs.select(
+            (F.regexp_extract("source", "([0-9]+)$", 1).cast("int") % 25).alias("topic_no"),
+            F.col("doc_id").alias("page_no"), F.replace("text", F.lit(". "), F.lit(".\n\n\n")).alias("raw"))),
+        qa_folder=f"{root}/xml", notes_csv=f"{root}/csv", edges=save("edges", union_all([*top, below])),
+        articles=save("articles", articles), question_pairs=save("pairs", exchanges(spark, folder)),
+        news=save("news", numbered.select("row_id", "text")),
+        forum=save("forum", numbered.select("row_id", "text", F.when(F.col("lang") == "de", "sci.med").otherwise(
+            F.col("lang")).alias("category"))),
+        product_reviews=save("products", turns(spark, folder).select(
+            "row_id", F.when(F.col("role") != "system", F.col("role")).alias("title"), F.col("text").alias("content"))),
+        business_reviews=save("businesses", numbered.select("row_id", "text")))
+
+
+def ten_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """The combined records of the ten default sources, side by side, after one run on files and tables of theirs."""
+    sources, raw = default_sources(_ten_inputs(spark, folder), TEN_QUOTAS), scratch_path(spark, "raw")
+    failed = [s for s in run_sources(spark, sources, raw) if s.status == "failed"]
+    if failed:
+        raise RuntimeError(f"sources that failed: {failed}")
+    return combine(spark, sources, raw).drop("ord")
+
+
 QUERIES = {f.__name__: f for f in (
-    pipeline_build, skip_collect, build_counts, reuse_status, rebuild_keeps_rows, only_subset, csv_scan)}
+    pipeline_build, skip_collect, build_counts, reuse_status, rebuild_keeps_rows, only_subset, csv_scan,
+    xml_scan, ten_sources)}
