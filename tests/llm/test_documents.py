@@ -12,7 +12,7 @@ from compare import differences, duck
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from evenkeel.llm import (components, induced_sort, language_id, language_model, ngram_join, quality_rules, queries,
+from evenkeel.llm import (components, elias_fano, induced_sort, language_id, language_model, ngram_join, quality_rules, queries,
                           suffix_dedup, topk_blocks)
 from evenkeel.llm.elias_fano import BigramTrie, EliasFano
 
@@ -288,11 +288,15 @@ def test_language_model(documents, odd, nothing, part, bucket, monkeypatch):
     assert {r["train_tokens"] for r in language_model.score(documents, F.lit(True)).collect()} == {0}
 
 
-def test_elias_fano_and_trie(tmp_path):
+@pytest.mark.parametrize("stretch", [1 << 18, 7, 1])
+def test_elias_fano_and_trie(tmp_path, monkeypatch, stretch):
+    monkeypatch.setattr(elias_fano, "STRETCH", stretch)
     rng = np.random.default_rng(2)
     for n, top in ((1, 1), (5, 3), (1000, 1 << 40), (5000, 900)):
         values = np.sort(rng.integers(0, top, n))
         assert (EliasFano.of(values)[np.arange(n)] == values).all()
+        for a, b in [(0, n), (n // 3, n // 2), (n - 1, n), (n // 2, n // 2)]:
+            assert (EliasFano.of(values).stretch(a, b) == values[a:b]).all()
     pairs = np.unique(rng.integers(0, 400, 300))
     context, word = np.divmod(pairs, 20)
     trie = BigramTrie(context, word, np.arange(len(pairs)).astype(np.uint16), 20, str(tmp_path))
