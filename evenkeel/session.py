@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Stored bytes per shuffle partition, and the number beyond which more partitions cost more than they help.
 SHUFFLE_BYTES = 256 << 20
 MOST_PARTITIONS = 1 << 16
+BATCH_ROWS = 1000
 
 
 def build_session(master: str | None = None, name: str = "evenkeel", **conf: str) -> SparkSession:
@@ -18,7 +19,7 @@ def build_session(master: str | None = None, name: str = "evenkeel", **conf: str
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
                # Python sees whole pages and files: a thousand of them are a batch of tolerable size.
-               .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000"))
+               .config("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -61,3 +62,18 @@ def sized_shuffles(spark: SparkSession, stored_bytes: int) -> Iterator[int]:
         yield max(int(configured), wanted)
     finally:
         spark.conf.set(name, configured)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of at most so many rows for jobs that run inside, where a row is a whole text or set.
+
+    The setting is read when a job starts: it holds for what is written inside, not for frames that are returned.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    configured = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(configured), rows) if int(configured) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)

@@ -2,6 +2,7 @@
 
 import re
 
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
@@ -74,3 +75,17 @@ def test_staging_folder(spark, tmp_path, monkeypatch):
         assert staging.stage(spark.range(3), "three").count() == 3
         assert list(tmp_path.glob("evenkeel/run-*/three-*"))
     assert not list(tmp_path.glob("evenkeel/run-*"))
+
+
+def test_small_batches_end_with_their_block(spark):
+    from evenkeel.session import small_batches
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with small_batches(spark, 10):
+        assert spark.conf.get(name) == "10"
+        sizes = spark.range(100, numPartitions=1).mapInPandas(
+            lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n bigint").collect()
+        assert {r["n"] for r in sizes} == {10}
+    with pytest.raises(ValueError), small_batches(spark, 10):
+        raise ValueError
+    assert spark.conf.get(name) == before
