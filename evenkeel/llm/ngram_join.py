@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from evenkeel.llm.components import components
 from evenkeel.llm.words import MIX, joined, word_codes
 from evenkeel.plans.staging import Tables, look_up, pin, stage
+from evenkeel.session import small_batches
 
 SHINGLE = 3
 LEAST = 90  # links have an overlap of at least so many hundredths of the union
@@ -60,15 +61,18 @@ def _set(word: np.ndarray, grams: np.ndarray, shingle: int) -> np.ndarray:
     return one[:len(word)] & BITS
 
 
-def _sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
-    """The sets of all texts, some megabytes of text at a time."""
-    size = np.cumsum(pc.binary_length(column.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
-    cuts = [0, *(np.flatnonzero(np.diff(size // TEXT_BYTES)) + 1).tolist(), len(column)]
-    for a, b in zip(cuts, cuts[1:]):
-        yield from _sets_of(column.slice(a, b - a), shingle)
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of some megabytes of text; what a batch took is given back before the next."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch["text"].fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(size // TEXT_BYTES)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                yield batch.slice(a, b - a)
+                pa.default_memory_pool().release_unused()
 
 
-def _sets_of(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+def _sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
     bounds, codes, words = word_codes(column)
     grams = word = words[codes]
     for k in range(1, shingle):
@@ -101,7 +105,7 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) ->
     residue = np.uint64(_residue(least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             rows, parity, listed = [], [], []
             for keys in _sets(batch["text"], shingle):
                 n = len(keys)
@@ -123,7 +127,7 @@ def shingle_sets(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) ->
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``row, shingles`` of the wanted classes (``row, doc_id, n, a, b``), made again from the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             keep, blobs = [], []
             asked = zip(*[batch[c].to_pylist() for c in "nab"], strict=True)
             for i, (keys, (n, a, b)) in enumerate(zip(_sets(batch["text"], shingle), asked, strict=True)):
@@ -384,6 +388,11 @@ def link_groups(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) ->
     that repeat a ``doc_id`` with different texts are separate sets. A row with a null ``doc_id`` takes no
     part and has a null component. An empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _link_groups(docs, shingle, least)
+
+
+def _link_groups(docs: DataFrame, shingle: int, least: int) -> DataFrame:
     tables = Tables(docs.sparkSession)
     found = tables.put(shingle_sets(docs, shingle, least).withColumn("row", F.monotonically_increasing_id()), "found")
     sets = stage(found.select("row", "doc_id", "n", "a", "b"), "sets")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm.tokens import library_encoder, sliced, texts
 from evenkeel.plans.staging import stage
+from evenkeel.session import small_batches
 
 END_ID = 2
 CAPACITY = 1024
@@ -135,7 +136,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     Repeated rows are packed as often as they come; an empty table gives no rows. Ties between equal lengths
     are settled by task and place, which changes no number of sequences.
     """
-    cut = stage(pieces(docs, path, capacity, end_id, keep_ids), "pieces")
+    with small_batches(docs.sparkSession):
+        cut = stage(pieces(docs, path, capacity, end_id, keep_ids), "pieces")
     made = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = made.select("part", "length", (F.sum("n").over(
         Window.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))

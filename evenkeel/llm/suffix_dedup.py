@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from evenkeel.llm.induced_sort import suffix_order
 from evenkeel.llm.words import joined
 from evenkeel.plans.staging import Tables, stage
+from evenkeel.session import small_batches
 
 WINDOW = 100
 ANCHOR = 32
@@ -192,6 +193,11 @@ def sort_shard(pieces: pd.DataFrame) -> pd.DataFrame:
 
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """``KEYS, start, end`` of byte spans to remove; they may overlap."""
+    with small_batches(keyed.sparkSession):
+        return _repeated_spans(keyed)
+
+
+def _repeated_spans(keyed: DataFrame) -> DataFrame:
     tables = Tables(keyed.sparkSession)
     found = tables.put(text_runs(keyed), "runs")
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("anchor")
