@@ -10,12 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evenkeel.llm import language_id, ngram_join, packing, quality_rules, suffix_dedup
 from evenkeel.plans.staging import stage
+from evenkeel.session import BATCH_ROWS
 
 LEAST_LANGUAGE_SCORE = 0.2
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Stages hand back frames that are run later: that whole texts go to Python few at a time is set for the session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules learned from ``labels`` keep; null and empty texts go, equal texts have one fate."""
+    _small_batches(spark)
     return quality_rules.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -24,6 +33,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Where no document has a ``lang`` to learn from, only those without a letter go.
     """
+    _small_batches(spark)
     return language_id.in_known_language(docs, LEAST_LANGUAGE_SCORE)
 
 
@@ -32,16 +42,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A null id comes after all others, of equal ids the first row stays; texts without words link with nothing.
     """
+    _small_batches(spark)
     return ngram_join.one_of_each_group(docs, shingle=5, least=80)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 100-byte strings that an earlier place has too; what has no word left goes."""
+    _small_batches(spark)
     return suffix_dedup.without_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces in sequences of 1024; a null or empty text is its end id."""
+    _small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
