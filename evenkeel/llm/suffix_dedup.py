@@ -24,6 +24,7 @@ from evenkeel.llm.words import joined
 from evenkeel.plans.staging import Tables, stage
 from evenkeel.session import small_batches
 
+HOT = -1  # the shard of anchors that are too large for one
 WINDOW = 100
 ANCHOR = 32
 SHARD_BYTES = 2 << 20
@@ -215,12 +216,16 @@ def _repeated_spans(keyed: DataFrame) -> DataFrame:
     size, hot = several.agg(F.sum(F.when(~F.col("hot"), F.col("size"))), F.max("hot")).first()
     size = size or 0
     shards = -(-size // SHARD_BYTES) or 1
-    wanted = firsts.join(several.select("anchor", "hot"), "anchor").select(
-        "first.*", "n", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int").alias("shard"), "hot")
-    sorted_ = _contents(keyed, wanted.filter(~F.col("hot"))).groupBy("shard").applyInPandas(
+    dealt = F.when(F.col("hot"), HOT).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
+    wanted = firsts.join(several.select("anchor", "hot"), "anchor").select("first.*", "n", dealt.alias("shard"))
+    contents = tables.put(_contents(keyed, wanted), "contents")  # texts are moved once for all of them
+    sorted_ = contents.filter(F.col("shard") != HOT).groupBy("shard").applyInPandas(
         sort_shard, f"{KEY_TYPES}, start bigint, end bigint")
     spans = again.union(stage(sorted_, "sorted"))
-    return spans.union(stage(later_windows(_contents(keyed, wanted.filter("hot"))), "later")) if hot else spans
+    if hot:
+        spans = spans.union(stage(later_windows(contents.filter(F.col("shard") == HOT)), "later"))
+    tables.drop("contents")
+    return spans
 
 
 def _merged(spans: list[dict]) -> list[tuple[int, int]]:
