@@ -16,7 +16,7 @@ from evenkeel.functions.text import fence
 from evenkeel.functions.urls import canonical, host, path_and_query, percent_decoded, resolve
 from evenkeel.operators.records import make_records
 from evenkeel.operators.sampling import first_rows
-from evenkeel.plans.staging import look_up, pin, stage
+from evenkeel.plans.staging import Pinned, look_up, pin, stage
 
 # Parsing functions travel with their tasks: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -150,10 +150,10 @@ def crawl_allowed(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFr
     empty = F.col("path_prefix") == ""
     listed = rules.select(F.lower("host").alias("_host"), "rule_no", percent_decoded(F.col("path_prefix")).alias("_prefix"),
                           (F.col("allow") | empty).alias("allow"))
-    hosts = pin(listed.select("_host").distinct(), "rule-hosts")
-    first = pin(listed.filter(F.col("_prefix").isNotNull()).groupBy("_host", "_prefix").agg(
-        F.min(F.struct("rule_no", "allow")).alias("_rule")), "rules")
-    lengths = pin(first.df.select("_host", F.length("_prefix").alias("_length")).distinct(), "rule-lengths")
+    known = pin(listed.groupBy("_host", "_prefix").agg(F.min(F.struct("rule_no", "allow")).alias("_rule")), "rules")
+    first = Pinned(known.df.filter(F.col("_prefix").isNotNull()), known.small)
+    hosts = Pinned(known.df.select("_host").distinct(), known.small)
+    lengths = Pinned(first.df.select("_host", F.length("_prefix").alias("_length")).distinct(), known.small)
     named = look_up(urls.withColumns({"_host": host(F.col(url)), "_path": path_and_query(F.col(url))}), hosts, ["_host"])
     prefixes = look_up(named.select("_host", "_path").distinct(), lengths, ["_host"]).filter(
         F.length("_path") >= F.col("_length")).withColumn("_prefix", F.left("_path", F.col("_length")))
