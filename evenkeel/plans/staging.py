@@ -52,15 +52,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def staging_area(spark: SparkSession) -> Iterator[None]:
-    """Tables staged inside are removed at the end; nothing lazy may outlive it."""
-    path = scratch_path(spark, "run")
+def scratch_area(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder that everything staged inside lies in; whoever asked for it removes it with ``delete_path``."""
+    path = scratch_path(spark, name)
     token = _area.set(path)
     try:
-        yield
+        yield path
     finally:
         _area.reset(token)
-        delete_path(spark, path)
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end; nothing lazy may outlive it."""
+    with scratch_area(spark, "run") as path:
+        try:
+            yield
+        finally:
+            delete_path(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
