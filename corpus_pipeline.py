@@ -5,11 +5,14 @@ columns there are and whatever they are called. Rows are judged as rows: repeate
 are no error. Null and empty texts go in the first stage. Empty tables give no rows.
 """
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from evenkeel.llm import language_id, ngram_join, packing, quality_rules, suffix_dedup
-from evenkeel.plans.staging import stage
+from evenkeel.plans.staging import delete_path, scratch_area, stage
 from evenkeel.session import BATCH_ROWS
 
 LEAST_LANGUAGE_SCORE = 0.2
@@ -22,10 +25,30 @@ def _small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+_scratch: list[str] = []  # folders of tables that stages have staged
+
+
+@contextmanager
+def _stage(spark: SparkSession, docs: DataFrame, name: str) -> Iterator[None]:
+    """One stage: its staged tables go when the next begins, as its result has been written by then.
+
+    A folder that ``docs`` still reads, as it was handed on unwritten, stays.
+    """
+    _small_batches(spark)
+    read = docs.inputFiles() if _scratch else []
+    for path in list(_scratch):
+        if not any(f"/{path.rsplit('/', 1)[1]}/" in file for file in read):
+            delete_path(spark, path)
+            _scratch.remove(path)
+    with scratch_area(spark, name) as path:
+        _scratch.append(path)
+        yield
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules learned from ``labels`` keep; null and empty texts go, equal texts have one fate."""
-    _small_batches(spark)
-    return quality_rules.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    with _stage(spark, docs, "quality"):
+        return quality_rules.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +56,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Where no document has a ``lang`` to learn from, only those without a letter go.
     """
-    _small_batches(spark)
-    return language_id.in_known_language(docs, LEAST_LANGUAGE_SCORE)
+    with _stage(spark, docs, "language"):
+        return language_id.in_known_language(docs, LEAST_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,20 +65,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A null id comes after all others, of equal ids the first row stays; texts without words link with nothing.
     """
-    _small_batches(spark)
-    return ngram_join.one_of_each_group(docs, shingle=5, least=80)
+    with _stage(spark, docs, "duplicates"):
+        return ngram_join.one_of_each_group(docs, shingle=5, least=80)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 100-byte strings that an earlier place has too; what has no word left goes."""
-    _small_batches(spark)
-    return suffix_dedup.without_repeats(docs)
+    with _stage(spark, docs, "strings"):
+        return suffix_dedup.without_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces in sequences of 1024; a null or empty text is its end id."""
-    _small_batches(spark)
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    with _stage(spark, docs, "packed"):
+        return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("quality_rules", good_quality), ("language_id", known_language), ("ngram_jaccard_join", near_duplicates),
