@@ -2,9 +2,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import unicodedata
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -288,6 +290,20 @@ def test_language_model(documents, odd, nothing, part, bucket, monkeypatch):
     assert {r["train_tokens"] for r in language_model.score(documents, F.lit(True)).collect()} == {0}
 
 
+def test_language_model_leaves_no_shuffles_of_what_it_has_written(spark, documents):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffles():
+        return {path.name.split("_")[1] for folder in folders for path in Path(folder).glob("*/shuffle_*.data")}
+
+    before = shuffles()
+    language_model.score(documents)
+    end = time.monotonic() + 20  # removal is asked for, not awaited
+    while len(shuffles() - before) > 2 and time.monotonic() < end:
+        time.sleep(0.2)
+    assert len(shuffles() - before) <= 2  # of the two sums; the requests and the parts that asked are gone
+
+
 @pytest.mark.parametrize("stretch", [1 << 18, 7, 1])
 def test_elias_fano_and_trie(tmp_path, monkeypatch, stretch):
     monkeypatch.setattr(elias_fano, "STRETCH", stretch)
