@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from evenkeel.config import (
     ATTEMPTS_PER_ROW, CONTRACTION_SHARE, CONTRACTIONS, DROP_QUESTION_SHARE, SEED, SYMPTOM_SHARE)
 from evenkeel.functions.draws import chance, draw, pick
-from evenkeel.functions.text import fence, strip
+from evenkeel.functions.text import fence, strip_edges
 from evenkeel.operators.records import first_seen, make_records
 from evenkeel.operators.sampling import first_rows
 from evenkeel.plans.staging import stage
@@ -76,7 +76,7 @@ def informalise(df: DataFrame, text: str, row_id: str, seed: int = SEED,
         padded = F.concat(F.lit(" "), F.col(text), F.lit(" "))
         applies = chance(draw(purpose, place, number, seed), CONTRACTION_SHARE) & F.contains(
             padded, F.lit(old))
-        out = out.withColumn(text, F.when(applies, strip(F.replace(padded, F.lit(old), F.lit(new))))
+        out = out.withColumn(text, F.when(applies, strip_edges(F.replace(padded, F.lit(old), F.lit(new))))
                              .otherwise(F.col(text)))
     dropped = chance(draw(purpose, place, len(CONTRACTIONS), seed), DROP_QUESTION_SHARE)
     final = F.when(dropped, F.regexp_replace(text, r"\?\z", "")).otherwise(F.col(text))

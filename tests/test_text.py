@@ -57,6 +57,25 @@ def test_cleaning_and_normalising_match_python(spark):
     assert run(spark, cleaned, T.normalise_cleaned) == run(spark, cleaned, T.normalise)
 
 
+def test_strip_matches_python(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices(["a", "\0", "é", "\U0001f600", " ", *WS_CHARS], k=rng.randint(0, 12))) for _ in range(4000)]
+    assert run(spark, [*texts, None], T.strip) == [t.strip() for t in texts] + [None]
+    assert run(spark, texts, T.strip_edges) == [t.strip() for t in texts]
+
+
+def test_strip_does_not_search_texts_without_blank_edges(spark):
+    frame = spark.range(4, numPartitions=4).select(F.repeat(F.concat(F.lit("word "), "id"), 500_000).alias("s")).cache()
+    frame.count()
+
+    def seconds(column):
+        start = time.monotonic()
+        frame.select(column(F.col("s"))).write.format("noop").mode("overwrite").save()
+        return time.monotonic() - start
+
+    assert min(seconds(T.strip) for _ in range(3)) < min(seconds(T.collapse_whitespace) for _ in range(3)) / 1.5
+
+
 def test_links_and_tags_match_python(spark):
     rng = random.Random(8)
     texts = ["".join(rng.choices("[]()<>ab", k=rng.randint(0, 30))) for _ in range(6000)]
