@@ -54,7 +54,12 @@ def write_pairs(spark: SparkSession, folder: str, root: str) -> None:
     copy_beginning(spark, first, f"{root}/a/cut-off.xml", 2 / 3)
 
 
-def write_texts(rows: DataFrame, path: str) -> None:
-    """CSV files as other programs write them: quotes doubled, blanks at the edges kept."""
-    (rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+def write_texts(rows: DataFrame, path: str, order: str) -> None:
+    """CSV files in the order of a column, which is not written; as other programs write them: quotes doubled, blanks at
+    the edges kept.
+
+    What stands in no file should be gone from ``rows``: they are shuffled whole.
+    """
+    (rows.repartitionByRange(order).sortWithinPartitions(order).drop(order)
+     .write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))

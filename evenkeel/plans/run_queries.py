@@ -113,14 +113,14 @@ def only_subset(spark: SparkSession, folder: str) -> DataFrame:
 
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The first texts of two folders of CSV files: one has both text columns, the other the second only."""
-    docs = table(spark, folder, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    both = docs.select(F.when(F.col("lang") != "es", F.col("text")).alias("transcription"),
+    docs = table(spark, folder, "documents")
+    both = docs.select("doc_id", F.when(F.col("lang") != "es", F.col("text")).alias("transcription"),
                        F.lit("unused").alias("description"))
-    second = docs.select(F.col("lang").alias("keywords"), F.col("text").alias("description"))
+    second = docs.select("doc_id", F.col("lang").alias("keywords"), F.col("text").alias("description"))
     found = []
     for name, rows in (("both", both), ("second", second)):
         path = scratch_path(spark, "csv")
-        write_texts(rows, path)
+        write_texts(rows, path, "doc_id")
         texts = tables.read_csv_texts(spark, path, ["transcription", "description"], CSV_ROWS)
         found.append(tables.first_texts(texts, CSV_ROWS, 1, name, "clinical_note").drop("row_id"))
     return found[0].unionByName(found[1])
@@ -157,21 +157,21 @@ def _ten_inputs(spark: SparkSession, folder: str) -> Inputs:
         F.col("c_name").alias("title"), F.col("text").alias("extract"))
     numbered = docs.withColumnRenamed("doc_id", "row_id")
     write_pairs(spark, folder, f"{root}/xml")
-    write_texts(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select(
-        F.when(F.col("lang") != "es", F.col("text")).alias("transcription"), F.lit("unused").alias("description")),
-        f"{root}/csv")
+    write_texts(docs.select("doc_id", F.when(F.col("lang") != "es", F.col("text")).alias("transcription"),
+                            F.lit("unused").alias("description")), f"{root}/csv", "doc_id")
+    # Three sources read the same texts: they are written once.
+    texts = save("texts", numbered.select("row_id", "text", F.when(F.col("lang") == "de", "sci.med").otherwise(
+        F.col("lang")).alias("category")))
     return Inputs(
         abstracts=save("abstracts", docs.select(
             (F.regexp_extract("source", "([0-9]+)$", 1).cast("int") % 25).alias("topic_no"),
             F.col("doc_id").alias("page_no"), F.replace("text", F.lit(". "), F.lit(".\n\n\n")).alias("raw"))),
         qa_folder=f"{root}/xml", notes_csv=f"{root}/csv", edges=save("edges", union_all([*top, below])),
         articles=save("articles", articles), question_pairs=save("pairs", exchanges(spark, folder)),
-        news=save("news", numbered.select("row_id", "text")),
-        forum=save("forum", numbered.select("row_id", "text", F.when(F.col("lang") == "de", "sci.med").otherwise(
-            F.col("lang")).alias("category"))),
+        news=texts, forum=texts,
         product_reviews=save("products", turns(spark, folder).select(
             "row_id", F.when(F.col("role") != "system", F.col("role")).alias("title"), F.col("text").alias("content"))),
-        business_reviews=save("businesses", numbered.select("row_id", "text")))
+        business_reviews=texts)
 
 
 def ten_sources(spark: SparkSession, folder: str) -> DataFrame:

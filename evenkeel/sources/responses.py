@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from evenkeel.functions.text import fence, strip
 from evenkeel.operators.records import make_records
 from evenkeel.operators.sampling import first_rows, topic_quota
-from evenkeel.plans.staging import stage
+from evenkeel.plans.staging import look_up, pin, stage
 from evenkeel.schema import pack
 
 # Record separator of a fetch response and the response shapes.
@@ -61,6 +61,14 @@ def topic_rows(chunks: DataFrame, quota: int, topics: int) -> DataFrame:
 
 def paged_topics(responses: DataFrame, quota: int, topics: int, label: int, source: str,
                  subtopic: str | None = None) -> DataFrame:
-    """Records from stored fetch responses (``topic_no, page_no, raw``)."""
-    chunks = stage(split_chunks(responses.filter(F.col("raw").isNotNull())), "chunks")
-    return make_records(topic_rows(chunks, quota, topics), "text", label, source, subtopic)
+    """Records from stored fetch responses (``topic_no, page_no, raw``).
+
+    The places of all records are staged and cut, not their texts; of the responses that are left these are split again.
+    """
+    told = responses.filter(F.col("raw").isNotNull())
+    places = stage(split_chunks(told).select("topic_no", "page_no", "pos"), "places")
+    wanted = pin(topic_rows(places, quota, topics).distinct(), "wanted")
+    page = ["topic_no", "page_no"]
+    pages = pin(wanted.df.select(*page).distinct(), "pages")
+    texts = look_up(split_chunks(look_up(told, pages, page, "left_semi")), wanted, [*page, "pos"])
+    return make_records(texts, "text", label, source, subtopic)

@@ -6,7 +6,7 @@ import pytest
 from test_sources import write_xml
 
 from evenkeel.config import MEDICAL_SEEDS, NON_MEDICAL_SEEDS, SOURCE_QUOTAS
-from evenkeel.plans import raw_zone
+from evenkeel.plans import raw_zone, run_queries
 from evenkeel.plans.build import build_corpus, load_splits, splits_path
 from evenkeel.plans.registry import Inputs, Source, default_sources
 from evenkeel.plans.staging import shared_dir
@@ -190,3 +190,9 @@ def test_csv_partials_can_be_imported(spark, tmp_path):
     got = raw_zone.load_partial(spark, str(tmp_path / "raw"), "old").orderBy("row_id").collect()
     assert [(r["text"], r["label"], r["source"], r["subtopic"]) for r in got] == [
         (t, 1, "old", None if i % 2 else "t") for i, t in enumerate(rows["text"])]
+
+
+def test_inputs_of_ten_sources_hold_each_text_once_per_form(spark):
+    inputs = run_queries._ten_inputs(spark, "/root/testdata/sf0.001")
+    assert inputs.news == inputs.forum == inputs.business_reviews
+    assert spark.read.parquet(inputs.news).columns == ["row_id", "text", "category"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.urls import resolve
 from evenkeel.operators import records
+from evenkeel.plans.staging import stage
 from evenkeel.sources import categories, qa_xml, responses, tables, templates, webpages
 
 
@@ -115,6 +116,30 @@ def test_topics_share_the_quota(spark):
     assert texts(responses.paged_topics(frame, 8, 1, 1, "src")) == flat[0][:8]
 
 
+def _repeated_pages(spark):
+    pages = [(t, p, "\n\n\n".join(f" {t}/{p}/{r}/{n} " for r in range(4))) for t in (0, 1) for p in range(3) for n in (0, 1)]
+    frame = spark.createDataFrame(pages, "topic_no int, page_no int, raw string").repartition(4)
+    return texts(responses.paged_topics(frame, 16, 2, 1, "src")), [f"{t}/0/{r}/{n}" for t in (0, 1) for r in range(4) for n in (0, 1)]
+
+
+def test_repeated_pages_keep_their_texts(spark):
+    got, want = _repeated_pages(spark)
+    assert sorted(got) == sorted(want)
+
+
+def test_repeated_pages_keep_their_texts_beyond_broadcast(spark, many_groups):
+    got, want = _repeated_pages(spark)
+    assert sorted(got) == sorted(want)
+
+
+def test_topics_are_cut_without_staging_texts(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(responses, "stage", lambda df, name: staged.append(df.columns) or stage(df, name))
+    frame = spark.createDataFrame([(0, 0, "a\n\n\nb")], "topic_no int, page_no int, raw string")
+    assert texts(responses.paged_topics(frame, 1, 1, 1, "src")) == ["a"]
+    assert staged == [["topic_no", "page_no", "pos"]]
+
+
 def test_split_on_three_newlines_matches_python(spark):
     raws = ["a\n\n\nb", "a\n\n\n\nb", "\n\n\n\n\n\n", "a\n\nb\n\n\n\n\n c ", ""]
     frame = spark.createDataFrame(list(enumerate(raws)), "i int, raw string")
