@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.plans.staging import stage
+from evenkeel.session import small_broadcasts
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -16,6 +17,11 @@ def components(links: DataFrame) -> DataFrame:
     Every round hangs a vertex's larger neighbours, then its smaller ones, on the smallest it knows, until
     nothing changes; a hub is a partial minimum and a join that Spark may split.
     """
+    with small_broadcasts(links.sparkSession):
+        return _components(links)
+
+
+def _components(links: DataFrame) -> DataFrame:
     edges = stage(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                   .filter("u <> v").distinct(), "edges")
     before = None

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from evenkeel.llm.components import components
 from evenkeel.llm.words import MIX, joined, word_codes
 from evenkeel.plans.staging import Tables, look_up, pin, stage
-from evenkeel.session import small_batches
+from evenkeel.session import small_batches, small_broadcasts
 
 SHINGLE = 3
 LEAST = 90  # links have an overlap of at least so many hundredths of the union
@@ -388,7 +388,7 @@ def link_groups(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST) ->
     that repeat a ``doc_id`` with different texts are separate sets. A row with a null ``doc_id`` takes no
     part and has a null component. An empty table gives no rows.
     """
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession), small_broadcasts(docs.sparkSession):
         return _link_groups(docs, shingle, least)
 
 
@@ -407,8 +407,8 @@ def _link_groups(docs: DataFrame, shingle: int, least: int) -> DataFrame:
         F.col("doc").alias("row"), F.col("label").alias("component"))
     named = stage(classes.join(labels, "row", "left").withColumn("component", F.coalesce("component", "row")), "named")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = named.join(least, "component").select("n", "a", "b", "component_id")
-    whole = sets.select("doc_id", "n", "a", "b").join(known, ["n", "a", "b"], "left")
+    known = named.join(least.hint("merge"), "component").select("n", "a", "b", "component_id")
+    whole = sets.select("doc_id", "n", "a", "b").join(known.hint("merge"), ["n", "a", "b"], "left")
     return whole.select("doc_id", F.col("n").alias("n_shingles"), F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
@@ -426,5 +426,5 @@ def one_of_each_group(docs: DataFrame, shingle: int = 5, least: int = 80) -> Dat
     own = F.col(names["doc_id"])
     first = F.min(F.struct(own.isNull().alias("late"), own.alias("id"), "row")).alias("first")
     chosen = groups.select(F.col("doc_id").alias("row"), "component_id").join(
-        rows.select("row", own), "row").groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
-    return rows.join(chosen, "row", "left_semi").select(*[F.col(n).alias(c) for c, n in names.items()])
+        rows.select("row", own).hint("merge"), "row").groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
+    return rows.join(chosen.hint("merge"), "row", "left_semi").select(*[F.col(n).alias(c) for c, n in names.items()])

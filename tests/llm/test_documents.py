@@ -242,6 +242,24 @@ def test_one_row_of_each_group_whatever_its_id(spark):
         assert len(want) == 9 and sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_groups_are_found_without_broadcasts_of_tables_that_grow(spark, monkeypatch):
+    """Tables that seem small to Spark are built in the driver, many times as large, and copies for salts 64 times that."""
+    monkeypatch.setattr("evenkeel.plans.staging.PIN_ROWS", 0)
+    thresholds, overlaps = [], ngram_join._overlaps
+
+    def watched(pairs, sets):
+        thresholds.append(int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")))
+        return overlaps(pairs, sets)
+
+    monkeypatch.setattr(ngram_join, "_overlaps", watched)
+    near = [[f"{k}w{i}" for i in range(40)] for k in range(20)]
+    rows = [(2 * k + late, " ".join([*w[:-1], "x"] if late else w)) for k, w in enumerate(near) for late in (0, 1)]
+    kept = ngram_join.one_of_each_group(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(0, 40, 2))
+    assert "Broadcast" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert thresholds and max(thresholds) <= 256 << 10
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(119, 200), (5, 5)]
     got = {tuple(r) for r in components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

@@ -4,13 +4,14 @@ import re
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from evenkeel.functions.text import clean_and_filter, with_dedup_keys
 from evenkeel.operators.dedup import dedup_groups
 from evenkeel.plans import staging
 from evenkeel.plans.staging import Pinned, look_up
-from evenkeel.session import sized_shuffles
+from evenkeel.session import sized_shuffles, small_broadcasts
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"article_text", "qa_pairs"}
@@ -52,6 +53,32 @@ def test_large_lookup_is_salted_not_broadcast(spark):
     assert joined.count() == 1000
 
 
+def test_copies_for_salts_are_not_broadcast_however_small_their_table_seems(spark):
+    big = spark.range(1000).selectExpr("id", "id % 3 as g")
+    side = spark.range(3).selectExpr("id as g", "id * 10 as v")
+    joined = look_up(big, Pinned(side, False), ["g"])
+    joined.collect()
+    assert "SortMergeJoin" in plan_of(joined) and "Broadcast" not in plan_of(joined)
+    assert joined.agg({"v": "sum"}).first()[0] == sum(i % 3 * 10 for i in range(1000))
+
+
+@pytest.mark.parametrize("configured,inside", [("10MB", 1000), ("-1", "-1"), ("500b", "500b")])
+def test_broadcasts_are_bounded_inside_and_as_configured_after(spark, configured, inside):
+    static, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(static)
+    spark.conf.set(static, configured)
+    try:
+        with small_broadcasts(spark, 1000):
+            assert spark.conf.get(static) == str(inside)
+            joined = spark.range(1000).join(spark.range(900).withColumnRenamed("id", "k"), F.col("id") == F.col("k"))
+            joined.collect()
+            assert "Broadcast" not in plan_of(joined)
+        assert spark.conf.get(static) == configured and spark.conf.get(adaptive, None) is None
+    finally:
+        spark.conf.set(static, before)
+
+
+
 def test_first_rows_reaches_the_scan(spark):
     plan = plan_of(entry_point.queries()["first_n"](spark, "/root/testdata/sf0.01"))
     assert re.search(r"PushedFilters: \[.*doc_id", plan), plan
